@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martlane.operators.flatten import flatten, object_size
 from martlane.sources.schemas import (
@@ -14,25 +15,25 @@ from martlane.sources.schemas import (
     STATION_FIELDS,
     STATIONBOARD_FIELDS,
 )
-from martlane.sources.seeds import seed_schema
+from martlane.sources.seeds import seed_columns
 
 
-def cast_select(raw: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
-    """Exactly the schema's columns with its types; no row is added or lost.
+def cast_select(raw: DataFrame, columns: Sequence[tuple[str, str]], strict: bool = True) -> DataFrame:
+    """Exactly these columns with these types; no row is added or lost.
 
     ``strict`` raises on text that does not fit, otherwise it becomes NULL.
     """
-    return raw.select(
-        *[
-            (F.col(f.name).cast(f.dataType) if strict else F.col(f.name).try_cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def typed(name: str, type_name: str) -> Column:
+        value = F.col(name)
+        return value.cast(type_name) if strict else value.try_cast(type_name)
+
+    return raw.select(*[typed(name, t).alias(name) for name, t in columns])
 
 
 def stage(raw: DataFrame, table: str, strict: bool = True) -> DataFrame:
     """The typed view of one seed table."""
-    return cast_select(raw, seed_schema(table), strict)
+    return cast_select(raw, seed_columns(table), strict)
 
 
 def stg_transport_connections(raw: DataFrame, strict: bool = True) -> DataFrame:
