@@ -11,19 +11,20 @@ import re
 
 from martlane.sources.seeds import seed_columns
 
-DAY, STAMP, NUMBER, WHOLE = "d", "t", "n", "i"
+DAY, STAMP, NUMBER, WHOLE, SMALL = "d", "t", "n", "i", "s"
 
 
 def shown(spec: str) -> str:
     """A select list from ``name`` or ``name:kind`` words.
 
-    Kinds: d date and t timestamp as text, n decimal as double, i as bigint.
+    Kinds: d date and t timestamp as text, n decimal as double, i bigint, s int.
     """
     forms = {
         DAY: "strftime({0}, '%Y-%m-%d') AS {0}",
         STAMP: "strftime({0}, '%Y-%m-%d %H:%M:%S.%f') AS {0}",
         NUMBER: "CAST({0} AS DOUBLE) AS {0}",
         WHOLE: "CAST({0} AS BIGINT) AS {0}",
+        SMALL: "CAST({0} AS INTEGER) AS {0}",
     }
     out = []
     for word in spec.split():
@@ -303,11 +304,13 @@ TABLES: dict[str, str] = {
           min(p.period_start) AS first_payout_period, max(p.period_end) AS last_payout_period
         FROM merchant_account m LEFT JOIN payout p ON p.merchant_id = m.merchant_id GROUP BY ALL""",
     "transactions": """
-        SELECT p.*, count(r.refund_id) AS refund_count,
-          coalesce(sum(r.amount_chf), 0) AS total_refund_amount_chf,
-          coalesce(bool_or(r.status = 'PROCESSED'), FALSE) AS has_processed_refund,
-          p.amount_chf - coalesce(sum(r.amount_chf), 0) AS net_amount_chf
-        FROM payment p LEFT JOIN refund r ON r.payment_id = p.payment_id GROUP BY ALL""",
+        SELECT p.*, coalesce(r.n, 0) AS refund_count, coalesce(r.total, 0) AS total_refund_amount_chf,
+          coalesce(r.processed, FALSE) AS has_processed_refund,
+          p.amount_chf - coalesce(r.total, 0) AS net_amount_chf
+        FROM payment p LEFT JOIN (
+          SELECT payment_id, count(*) AS n, sum(amount_chf) AS total,
+            bool_or(status = 'PROCESSED') AS processed
+          FROM refund GROUP BY payment_id) r ON r.payment_id = p.payment_id""",
     "rail": """
         SELECT departure, from_station AS station_name, product AS line_text, category AS product,
           operator, from_latitude AS latitude, from_longitude AS longitude, delay_minutes,

@@ -158,7 +158,7 @@ MARTS = {
         "fulfillment",
         "order_id customer_id order_date:d order_status order_total_chf:n shipment_id "
         "shipment_status vehicle_id origin_warehouse destination_city shipped_at:t delivered_at:t "
-        "delivery_days:i payment_id payment_method payment_status payment_amount_chf:n "
+        "delivery_days:s payment_id payment_method payment_status payment_amount_chf:n "
         "net_payment_chf:n",
     ),
     "customer_overview_360": (
@@ -189,6 +189,7 @@ ROUTES = (
     "origin_warehouse destination_city total_shipments total_orders total_revenue_chf:n "
     "total_payments_chf:n total_refunds_chf:n net_revenue_chf:n avg_delivery_days"
 )
+ORDER_VALUE = "round(avg_order_value_chf::DECIMAL(18,6), 4)::DOUBLE"
 
 
 def _round_average(df: DataFrame) -> DataFrame:
@@ -198,7 +199,7 @@ def _round_average(df: DataFrame) -> DataFrame:
 add(
     "revenue_by_route",
     lambda d: _round_average(d.routes),
-    f"SELECT {shown(ROUTES)}, round(avg_order_value_chf, 4) AS avg_order_value_chf FROM routes",
+    f"SELECT {shown(ROUTES)}, {ORDER_VALUE} AS avg_order_value_chf FROM routes",
 )
 
 # Operators on their own ---------------------------------------------------
@@ -462,13 +463,13 @@ add(
     ),
     """SELECT sum(r.total_revenue_chf)::DOUBLE AS total_revenue_chf,
          sum(r.total_shipments)::BIGINT AS total_shipments,
-         round(avg(r.avg_order_value_chf), 2) AS avg_order_value_chf
-       FROM routes r""",
+         round(avg(v), 2) AS avg_order_value_chf
+       FROM (SELECT *, round(avg_order_value_chf::DECIMAL(18,6), 4) AS v FROM routes) r""",
 )
 add(
     "routes_sorted",
     lambda d: _round_average(reports.routes_by_revenue(d.routes)),
-    f"SELECT {shown(ROUTES)}, round(avg_order_value_chf, 4) AS avg_order_value_chf FROM routes",
+    f"SELECT {shown(ROUTES)}, {ORDER_VALUE} AS avg_order_value_chf FROM routes",
 )
 add(
     "revenue_vs_delivery_time",
