@@ -26,16 +26,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str, cores: str = "*", shuffle_partitions: int = 8, config: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for name, value in (config or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
