@@ -57,7 +57,9 @@ def hot_keys(
         )
 
     found = reduce(DataFrame.unionByName, [heavy(i, df) for i, df in tables.items()])
-    heaviest = F.max_by(F.struct("cut", "pieces"), "n").alias("h")
+    # The list is used for every table, so it must come out the same each time
+    # it is computed: equal counts are decided by position.
+    heaviest = F.max(F.struct("n", "cut", "pieces")).alias("h")
     return found.groupBy("hot_key").agg(heaviest).select("hot_key", "h.cut", "h.pieces")
 
 

@@ -48,6 +48,10 @@ class Catalog:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.schema(layer, product)}")
         full_name = self.name(layer, product, table)
         documented = with_comments(df, column_comments or {})
+        if partition_by:
+            # Gathers each partition's rows in few files; a partition too large
+            # for one task is split again at run time.
+            documented = documented.hint("rebalance", *partition_by)
         writer = documented.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -11,14 +11,25 @@ from pyspark.sql.streaming import StreamingQuery
 from martlane.operators.latest import latest_per_key
 
 
-def dedupe_within(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def dedupe_within(
+    df: DataFrame, keys: Sequence[str], event_time: str, delay: str, slots: int = 64
+) -> DataFrame:
     """First row per key among rows at most ``delay`` apart in event time.
 
+    Duplicate removal has no partial step of its own, so all copies of a key
+    would meet in one task. Copies are first removed per key and slot, where
+    the slot follows the input partition, which leaves at most ``slots`` rows
+    per key for the step that decides. A repeated task may deal the slots
+    differently; only the last step matters for the result.
+
     State is dropped once the watermark has passed, so it stays bounded. The
     watermark needs an instant; a wall-clock column is cast in place.
     """
     timed = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = timed.withWatermark(event_time, delay)
+    slot = F.pmod(F.spark_partition_id(), F.lit(slots))
+    reduced = timed.withColumn("slot", slot).dropDuplicatesWithinWatermark([*keys, "slot"])
+    return reduced.drop("slot").dropDuplicatesWithinWatermark(list(keys))
 
 
 def latest_sink(

@@ -264,6 +264,14 @@ def test_inventory_comments_and_preview(spark, frames):
     assert preview(df, 2).count() == 2 and row_count(df).first()[0] == 3
 
 
+def test_partitioned_tables(spark, rows):
+    catalog = Catalog(spark, "_test")
+    df = spark.range(20).selectExpr("id", "id % 3 AS day")
+    out = catalog.write(df, "mart", "days", "by_day", partition_by=["day"])
+    assert rows(out, "id", "day") == rows(df)
+    assert "PartitionFilters: [isnotnull(day" in out.filter("day = 1")._jdf.queryExecution().toString()
+
+
 # Metrics ------------------------------------------------------------------
 
 
