@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane.plans import enterprise, feeds, logistics, payments, staging
-from martlane.session import tune
+from martlane.session import tune, work_folder
 
 
 def _case(column: str, mapping: dict[str, str], other: str) -> str:
@@ -104,9 +104,14 @@ class Standins:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
+        self._stages: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A driver table; its footer is read once for the schema."""
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     # Raw stand-ins --------------------------------------------------------
 
@@ -453,8 +458,10 @@ class Standins:
     # Staging and marts ----------------------------------------------------
 
     def stg(self, table: str) -> DataFrame:
-        maker: Callable[[], DataFrame] = getattr(self, f"raw_{table}")
-        return staging.stage(maker(), table)
+        if table not in self._stages:
+            maker: Callable[[], DataFrame] = getattr(self, f"raw_{table}")
+            self._stages[table] = staging.stage(maker(), table)
+        return self._stages[table]
 
     @cached_property
     def connections(self) -> DataFrame:
@@ -500,27 +507,26 @@ class Standins:
     def transactions(self) -> DataFrame:
         return payments.mart_transaction_summary(self.stg("payment"), self.stg("refund"))
 
-    @cached_property
-    def counted(self) -> dict[str, DataFrame]:
+    def counted(self, **tables: str) -> dict[str, DataFrame]:
         """Staging tables with the key values of the marts, for finding hot keys."""
-        return {
-            "orders": self.stg("order_header"),
-            "shipments": self.stg("shipment"),
-            "transactions": self.stg("payment"),
-            "customers": self.stg("business_customer"),
-            "merchants": self.stg("merchant_account"),
-        }
+        return {mart: self.stg(table) for mart, table in tables.items()}
 
     @cached_property
     def fulfillment(self) -> DataFrame:
         return enterprise.fulfillment_lifecycle(
-            self.orders, self.shipments, self.transactions, self.counted
+            self.orders,
+            self.shipments,
+            self.transactions,
+            self.counted(shipments="shipment", transactions="payment"),
         )
 
     @cached_property
     def customer_360(self) -> DataFrame:
         return enterprise.customer_overview(
-            self.customers, self.orders, self.merchants, self.counted
+            self.customers,
+            self.orders,
+            self.merchants,
+            self.counted(customers="business_customer", merchants="merchant_account"),
         )
 
     @cached_property
@@ -530,9 +536,24 @@ class Standins:
     @cached_property
     def report(self) -> DataFrame:
         return enterprise.transaction_report(
-            self.transactions, self.orders, self.shipments, self.customers, self.counted
+            self.transactions,
+            self.orders,
+            self.shipments,
+            self.customers,
+            self.counted(
+                orders="order_header",
+                shipments="shipment",
+                transactions="payment",
+                customers="business_customer",
+            ),
         )
 
+    def saved(self, df: DataFrame) -> DataFrame:
+        """The frame as a table in a new shared folder, for plans that read it often."""
+        folder = work_folder(self.spark, "mart")
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     @cached_property
     def rail(self) -> DataFrame:
         return feeds.mart_swiss_rail_overview(self.connections, self.stationboard)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # has at most HOT_SHARE hot keys, which bounds the broadcast list of them.
 HOT_SHARE = 20_000
 # Below this many rows a key fits one task without trouble.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 100_000
 
 
 @dataclass(frozen=True)

@@ -236,16 +236,21 @@ def _only_value(metric: Metric, name: str) -> Column:
     return value.alias(name)
 
 
-def _once_per_id(df: DataFrame, metric: Metric, name: str, dims: Sequence[str]) -> DataFrame:
-    """The metric over one row per id and dimension values, fan-out undone."""
-    if not metric.grain:
-        return df.groupBy(*dims).agg(_measure(metric, name))
+def _once_per_id(df: DataFrame, grain: str, measures: dict[str, Metric], dims: Sequence[str]) -> DataFrame:
+    """Metrics of one grain over one row per id and dimension values, fan-out undone."""
+    if not grain:
+        return df.groupBy(*dims).agg(*[_measure(m, name) for name, m in measures.items()])
     per_id = (
-        df.filter(F.col(metric.grain).isNotNull())
-        .groupBy(*dims, F.col(metric.grain).alias("grain"))
-        .agg(F.max(metric.column).alias("value"))
+        df.filter(F.col(grain).isNotNull())
+        .groupBy(*dims, F.col(grain).alias("grain"))
+        .agg(*[F.max(m.column).alias(f"value_of_{name}") for name, m in measures.items()])
+    )
+    return per_id.groupBy(*dims).agg(
+        *[
+            AGGREGATES[m.aggregate](F.col(f"value_of_{name}")).alias(name)
+            for name, m in measures.items()
+        ]
     )
-    return per_id.groupBy(*dims).agg(AGGREGATES[metric.aggregate](F.col("value")).alias(name))
 
 
 def metric_query(
@@ -272,7 +277,9 @@ def metric_query(
         # the only value per group lines them up without a join. The first
         # part keeps groups that have no id for some metric.
         parts = [rows.select(*dims).distinct()] if dims else []
-        parts += [_once_per_id(rows, view.metrics[n], n, dims) for n in names]
+        for grain in dict.fromkeys(view.metrics[n].grain for n in names):
+            same = {n: view.metrics[n] for n in names if view.metrics[n].grain == grain}
+            parts.append(_once_per_id(rows, grain, same, dims))
         stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         result = stacked.groupBy(*dims).agg(*[_only_value(view.metrics[n], n) for n in names])
     else:

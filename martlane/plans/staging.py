@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlane.operators.flatten import flatten, object_size
@@ -24,11 +24,8 @@ def cast_select(raw: DataFrame, columns: Sequence[tuple[str, str]], strict: bool
     ``strict`` raises on text that does not fit, otherwise it becomes NULL.
     """
 
-    def typed(name: str, type_name: str) -> Column:
-        value = F.col(name)
-        return value.cast(type_name) if strict else value.try_cast(type_name)
-
-    return raw.select(*[typed(name, t).alias(name) for name, t in columns])
+    cast = "CAST" if strict else "TRY_CAST"
+    return raw.selectExpr(*[f"{cast}({name} AS {t}) AS {name}" for name, t in columns])
 
 
 def stage(raw: DataFrame, table: str, strict: bool = True) -> DataFrame:
