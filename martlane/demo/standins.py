@@ -267,7 +267,7 @@ class Standins:
                 F.max("l_partkey").alias("part"),
                 F.min("l_shipdate").alias("first"),
                 F.max("l_shipdate").alias("last"),
-                F.max("l_linestatus").alias("line_status"),
+                F.max(F.expr("CAST(l_linestatus <> 'F' AS INT)")).alias("open_lines"),
                 F.sum("l_quantity").alias("weight"),
                 F.max("l_quantity").alias("volume"),
                 F.max("l_tax").alias("tax"),
@@ -280,10 +280,10 @@ class Standins:
                 "concat('W', supp % 8) AS origin_warehouse",
                 "concat('N', part % 25) AS destination_city",
                 "lpad(part % 25, 4, '0') AS destination_postal_code",
-                "IF(line_status = 'F', 'DELIVERED', 'IN_TRANSIT') AS status",
+                "IF(open_lines = 0, 'DELIVERED', 'IN_TRANSIT') AS status",
                 "first AS created_at",
                 "first AS shipped_at",
-                "IF(line_status = 'F', last, NULL) AS delivered_at",
+                "IF(open_lines = 0, last, NULL) AS delivered_at",
                 "weight AS weight_kg",
                 "volume AS volume_m3",
                 "tax > 0.05D AS requires_customs",

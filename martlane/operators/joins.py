@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 HOT_SHARE = 20_000
 # Below this many rows a key fits one task without trouble.
 HOT_ROWS = 100_000
+# Column of a frame given for counting that says how many rows a row stands for.
+WEIGHT = "rows_of_key"
 
 
 @dataclass(frozen=True)
@@ -40,15 +42,17 @@ def hot_keys(
     """Keys heavy in some table: the position to cut, and into how many pieces.
 
     Reads one column per table and counts it, with partial counts before the
-    shuffle. The result has at most ``share`` keys per table.
+    shuffle. A table with a column ``WEIGHT`` is already counted in part. The
+    result has at most ``share`` keys per table.
     """
 
     def heavy(position: int, df: DataFrame) -> DataFrame:
-        rows = df.select(F.col(key).alias("hot_key")).filter(F.col(key).isNotNull())
-        limit = rows.agg(
-            F.greatest(F.lit(float(hot_rows)), F.count(F.lit(1)) / share).alias("limit")
-        ).scalar()
-        counts = rows.groupBy("hot_key").agg(F.count(F.lit(1)).alias("n"))
+        counted = WEIGHT in df.columns
+        size = F.sum(WEIGHT) if counted else F.count(F.lit(1))
+        columns = [F.col(key).alias("hot_key"), *([F.col(WEIGHT)] if counted else [])]
+        rows = df.select(*columns).filter(F.col(key).isNotNull())
+        limit = rows.agg(F.greatest(F.lit(float(hot_rows)), size / share).alias("limit")).scalar()
+        counts = rows.groupBy("hot_key").agg(size.alias("n"))
         return counts.filter(F.col("n") >= limit).select(
             "hot_key",
             "n",

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from martlane.functions.dates import days_between
 from martlane.functions.money import zero_if_null
-from martlane.operators.joins import Side, star_join
+from martlane.operators.joins import WEIGHT, Side, star_join
+
+
+def _rows_per_order(df: DataFrame, name: str) -> DataFrame:
+    keyed = df.filter(F.col("order_id").isNotNull())
+    return keyed.groupBy("order_id").agg(F.count(F.lit(1)).alias(name))
 
 
 def fulfillment_lifecycle(
@@ -196,8 +201,20 @@ def transaction_report(
         ],
         spread=["order_id"],
     )
-    # One customer may own a third of all payments: such customers are found on
-    # the orders and their payments cut into pieces.
+    # One customer may own a third of all rows. Such customers are found from the
+    # payments times shipments of their orders, and their rows cut into pieces.
+    payments_of = _rows_per_order(counted.get("transactions", transactions), "payments")
+    shipments_of = _rows_per_order(counted.get("shipments", shipments), "shipments")
+    weights = (
+        counted.get("orders", orders)
+        .select("order_id", "customer_id")
+        .join(payments_of, "order_id")
+        .join(shipments_of, "order_id", "left")
+        .select(
+            "customer_id",
+            (F.col("payments") * F.coalesce("shipments", F.lit(1))).alias(WEIGHT),
+        )
+    )
     report = star_join(
         by_order,
         "customer_id",
@@ -209,7 +226,7 @@ def transaction_report(
             )
         ],
         spread=["payment_id", "shipment_id"],
-        counted=counted.get("orders", orders),
+        counted=weights,
     )
     return report.select(
         "payment_id",
