@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -185,6 +187,22 @@ for _name, (_source, _spec) in MARTS.items():
         f"SELECT {shown(_spec)} FROM {SUBQUERIES.get(_source, _source)}",
     )
 
+
+
+def _row_counts(d: Standins) -> DataFrame:
+    marts = {"orders": d.orders, "shipments": d.shipments, "transactions": d.transactions}
+    counts = [row_count(df).withColumn("mart", F.lit(name)) for name, df in marts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+add(
+    "mart_row_counts",
+    _row_counts,
+    """SELECT 'orders' AS mart, count(*) AS row_count FROM order_totals
+       UNION ALL SELECT 'shipments', count(*) FROM shipments
+       UNION ALL SELECT 'transactions', count(*) FROM transactions""",
+)
+
 ROUTES = (
     "origin_warehouse destination_city total_shipments total_orders total_revenue_chf:n "
     "total_payments_chf:n total_refunds_chf:n net_revenue_chf:n avg_delivery_days"
@@ -769,6 +787,22 @@ add(
        FROM report WHERE requires_customs = FALSE""",
 )
 
+
+
+def _retained(d: Standins) -> DataFrame:
+    """Events no older than ten days on the last day of January 2024."""
+    events = d.source("events").select("event_id", F.to_date("ts").alias("day"))
+    tagged = policies.tag_column(events, "day", RETENTION_DAYS="10", PII_LEVEL="LOW")
+    return policies.within_retention(tagged, "day", date(2024, 1, 31))
+
+
+add(
+    "rows_within_retention",
+    _retained,
+    """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events
+       WHERE ts >= TIMESTAMP '2024-01-21 00:00:00'""",
+)
+
 # Checks -------------------------------------------------------------------
 
 add(
