@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot when it owns at least 1/HOT_SHARE of a table's rows. So a table
@@ -68,10 +68,15 @@ def hot_keys(
 
 
 def _in_pieces(
-    df: DataFrame, key: str, hot: DataFrame, position: int, spread: Sequence[str]
+    df: DataFrame,
+    key: str,
+    hot: DataFrame,
+    position: int,
+    spread: Sequence[str],
+    *extra: Column,
 ) -> DataFrame:
-    """Rows of hot keys: one piece where this table is cut, else in all pieces."""
-    row_hash = F.xxhash64(*[F.col(c) for c in (spread or [key])])
+    """Add ``piece``: one piece where this table is cut, else all pieces of the key."""
+    row_hash = F.xxhash64(*(spread or [key]))
     own = F.pmod(row_hash, F.col("pieces")).cast("int")
     piece = (
         F.when(F.col("cut").isNull(), F.array(F.lit(0)))
@@ -82,9 +87,8 @@ def _in_pieces(
         # A missing key meets nothing; spread such rows instead of piling them up.
         loose = F.array(F.pmod(row_hash, F.lit(HOT_SHARE)).cast("int"))
         piece = F.when(F.col(key).isNull(), loose).otherwise(piece)
-    return df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn(
-        "piece", F.explode(piece)
-    )
+    marked = df.join(F.broadcast(hot), df[key] == hot["hot_key"], "left")
+    return marked.select(*df.columns, *extra, F.explode(piece).alias("piece"))
 
 
 def star_join(
@@ -116,18 +120,15 @@ def star_join(
             tables[position] = side.df if side.counted is None else side.counted
     hot = hot_keys(tables, key, hot_rows, share)
 
-    result = _in_pieces(base, key, hot, 0, spread).drop("hot_key", "pieces")
+    result = _in_pieces(base, key, hot, 0, spread, F.col("cut"))
+    markers = []
     for position, side in enumerate(sides, start=1):
-        marker = f"met_{position}"
-        right = (
-            _in_pieces(side.df.filter(F.col(key).isNotNull()), key, hot, position, side.spread)
-            .drop("hot_key", "cut", "pieces")
-            .withColumn(marker, F.lit(True))
-        )
+        markers.append(f"met_{position}")
+        met = F.lit(True).alias(markers[-1])
+        keyed = side.df.filter(F.col(key).isNotNull())
+        right = _in_pieces(keyed, key, hot, position, side.spread, met)
         result = result.join(right, [key, "piece"], "left" if side.keep_base else "inner")
         if side.keep_base:
-            spare_copy = (F.col("cut") == position) & F.col(marker).isNull()
+            spare_copy = (F.col("cut") == position) & F.col(markers[-1]).isNull()
             result = result.filter(~F.coalesce(spare_copy, F.lit(False)))
-        result = result.drop(marker)
-    return result.drop("piece", "cut")
-
+    return result.drop("piece", "cut", *markers)

@@ -6,6 +6,9 @@ from pathlib import Path
 
 import pytest
 
+from martlane.demo import registry
+from martlane.demo.standins import Standins
+
 duckdb = pytest.importorskip("duckdb")
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -38,9 +41,15 @@ def shown(value):
     return repr(value)
 
 
+@pytest.fixture(scope="module")
+def standins(spark):
+    """One set of plans for all queries."""
+    return Standins(spark, str(DATA))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_its_sql(spark, oracle, name):
-    df = QUERIES[name](spark, str(DATA))
+def test_query_matches_its_sql(standins, oracle, name):
+    df = registry.present(registry.QUERIES[name].build(standins))
     columns = sorted(df.columns)
     got = sorted(tuple(shown(r[c]) for c in columns) for r in df.collect())
     result = oracle.execute(ORACLE[name])
