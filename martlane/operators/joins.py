@@ -118,6 +118,8 @@ def star_join(
     for position, side in enumerate(sides, start=1):
         if not side.unique:
             tables[position] = side.df if side.counted is None else side.counted
+    if not tables:
+        raise ValueError("no key can repeat in any table: plain joins will do")
     hot = hot_keys(tables, key, hot_rows, share)
 
     result = _in_pieces(base, key, hot, 0, spread, F.col("cut"))

@@ -1,8 +1,9 @@
 """Landed payload files into an append-only raw table, and flattening it.
 
 A raw table is a parquet folder with one sub-folder per micro-batch. A batch
-writes its own sub-folder with overwrite, so a batch that is repeated after a
-failure replaces what it wrote before and nothing is doubled.
+that is repeated after a failure replaces what it wrote in part, and leaves
+alone what it had finished, since a stream may have read those files already.
+So nothing is doubled, here or downstream.
 """
 
 from __future__ import annotations
@@ -45,9 +46,18 @@ def first_per_key(batch: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     return keyed.unionByName(keyless.select("raw_key", "value"))
 
 
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a job has finished writing the folder."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_batch(batch: DataFrame, batch_id: int, feed: Feed, out: str, dedupe: bool) -> None:
     """Wrap a batch of payload texts; good rows and quarantine go out in one job."""
     spark = batch.sparkSession
+    folder = f"{out}/batch_id={batch_id}"
+    if is_complete(spark, folder):
+        return
     rows = batch.select("value").withColumn("raw_key", F.lit(None).cast("string"))
     if dedupe:
         parsed = wrap_payloads(rows, feed.wrap)
@@ -64,7 +74,7 @@ def write_batch(batch: DataFrame, batch_id: int, feed: Feed, out: str, dedupe: b
         "raw_key",
         F.when(~good, F.col("value")).alias("payload"),
         F.when(good, F.lit(GOOD)).otherwise(F.lit(BAD)).alias("kind"),
-    ).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/batch_id={batch_id}")
+    ).write.mode("overwrite").partitionBy("kind").parquet(folder)
 
 
 def ingest(

@@ -63,9 +63,14 @@ def test_ingest_keeps_one_payload_per_key(spark, folder, rows):
     assert rows(read_quarantine(spark, out), "payload") == [("broken{",)]
 
 
-def test_a_repeated_batch_replaces_itself(spark, folder):
+def test_a_repeated_batch_doubles_nothing(spark, folder):
     out = str(folder / "raw")
     batch = spark.createDataFrame([('{"id":1}',), ('{"id":2}',)], "value string")
+    write_batch(batch, 0, FEED, out, dedupe=True)
+    finished = {f.name for f in (folder / "raw").rglob("*.parquet")}
+    write_batch(batch, 0, FEED, out, dedupe=True)
+    assert {f.name for f in (folder / "raw").rglob("*.parquet")} == finished
+    (folder / "raw" / "batch_id=0" / "_SUCCESS").unlink()
     for _ in range(2):
         write_batch(batch, 0, FEED, out, dedupe=True)
     for _ in range(2):

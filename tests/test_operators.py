@@ -67,6 +67,12 @@ def test_star_join_cuts_a_hot_base(spark, rows, hot_rows):
     assert rows(out, "k", "l", "b") == rows(many.join(base, "k", "left"), "k", "l", "b")
 
 
+def test_star_join_refuses_when_there_is_nothing_to_balance(spark):
+    base, left, _ = _skewed(spark)
+    with pytest.raises(ValueError):
+        star_join(base, "k", [Side(left, unique=True)], ["b"])
+
+
 def test_hot_keys_name_the_heaviest_table_and_pieces(spark, rows):
     base, left, right = _skewed(spark)
     hot = hot_keys({1: left, 2: right}, "k", hot_rows=1, share=4)
