@@ -31,7 +31,7 @@ from martlane.llm.common import written
 WEIGHTS = (3, 1, 2)  # of the sources in order, repeating
 SHARE = 1.5  # words taken, per word there is
 MOST = 2.0  # words a source gives at most, per word it has
-SHARD_ROWS = 20_000  # rows decided in one task
+SHARD_ROWS = 4_000  # rows decided in one task
 LEFT_SHARDS = 4096  # shards whose undecided rows meet in one task of the next level
 WORD = r"[^\x20\x09-\x0D]+"
 FLIGHTS = 40  # tries of a last flight, until its words are within CLOSE of their sum

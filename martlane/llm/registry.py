@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import mixing
+from martlane.llm import mixing, packing, tokens
 from martlane.llm.common import table
 
 
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.public(tokens.BYTE_BPE)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pack_sequences": op2_pack_sequences,
     "op9_mix_sources": op9_mix_sources,
 }
 
