@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import mixing, packing, tokens
+from martlane.llm import licenses, mixing, packing, token_files, tokens
 from martlane.llm.common import table
+from martlane.session import work_folder
 
 
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,16 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), tokens.public(tokens.WORD_BPE), path)
+    return token_files.read(spark, path)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
@@ -22,6 +33,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
+    "op7_token_files": op7_token_files,
+    "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
 }
 
