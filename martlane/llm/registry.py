@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import licenses, mixing, packing, token_files, tokens
+from martlane.llm import jaccard, licenses, mixing, packing, token_files, tokens
 from martlane.llm.common import table
 from martlane.session import work_folder
 
@@ -16,6 +16,10 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), tokens.public(tokens.WORD_BPE), path)
@@ -33,6 +37,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,

@@ -20,7 +20,7 @@ from martlane.llm.common import kept_by_worker
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-CHUNKS_KEPT = 1_000_000
+CHUNKS_KEPT = 700_000
 RUN = 2_000_000  # characters whose new chunks are encoded in one call
 LONGEST_KEPT = 64  # characters of a chunk worth keeping
 
