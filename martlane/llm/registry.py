@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import jaccard, licenses, mixing, packing, token_files, tokens
+from martlane.llm import jaccard, licenses, lm, mixing, packing, quality, token_files, tokens
 from martlane.llm.common import table
 from martlane.session import work_folder
 
@@ -16,6 +16,10 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -35,12 +39,19 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
 
 
+def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return lm.score(table(spark, sf_dir, "documents"), good)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
+    "op10_cross_entropy_difference": op10_cross_entropy_difference,
 }
 
 ORACLE_SQL: dict[str, str] = {}
