@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import jaccard, licenses, lm, mixing, packing, quality, token_files, tokens
+from martlane.llm import ann, jaccard, licenses, lm, mixing, packing, quality, token_files, tokens
 from martlane.llm.common import table
 from martlane.session import work_folder
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokens.public(tokens.BYTE_BPE)
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
@@ -45,6 +50,7 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_pack_sequences": op2_pack_sequences,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_ngram_jaccard": op6_ngram_jaccard,
