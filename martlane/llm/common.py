@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from martlane.session import work_folder
 
 
+# Rows sent to a Python worker at once: texts may be long, and workers share an executor's memory.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    if BATCH not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(BATCH, BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import ann, jaccard, licenses, lm, mixing, packing, quality, token_files, tokens
+from martlane.llm import ann, jaccard, licenses, lm, mixing, near_vectors, packing, quality, token_files, tokens
 from martlane.llm.common import table
 from martlane.session import work_folder
 
@@ -21,6 +21,10 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_pack_sequences": op2_pack_sequences,
+    "op3_near_vectors": op3_near_vectors,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_files": op7_token_files,

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
 
 import public_tokenizers
@@ -28,6 +29,7 @@ LONGEST_KEPT = 64  # characters of a chunk worth keeping
 _SPACE = r"\t-\r \x85\xa0  -     　"
 # Coarser than the byte-level pattern, with cuts at the same places around white space:
 # a space goes with the chunk it precedes, the rest of a run of white space is its own.
+_ENDS = frozenset(",.")
 _BYTE_CHUNKS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
@@ -79,8 +81,14 @@ class Encoder:
             if None in ids:
                 new.update((c, b"") for c, x in zip(chunks, ids, strict=True) if x is None)
         if new:
-            encoded = self.library.encode_batch_fast(list(new), add_special_tokens=False)
-            new = dict(zip(new, [array("I", x.ids).tobytes() for x in encoded], strict=True))
+            # A word before a comma or full stop is a chunk of its own, most often a known one.
+            ended = [c for c in new if c[-1:] in _ENDS and c[c[0] == " " : -1].isalpha()]
+            ask = set(new).difference(ended).union(x for c in ended for x in (c[:-1], c[-1]))
+            ask = list(ask.difference(known))
+            encoded = self.library.encode_batch_fast(ask, add_special_tokens=False)
+            new = dict(zip(ask, [array("I", x.ids).tobytes() for x in encoded], strict=True))
+            ids_of = ChainMap(new, known)
+            new.update([(c, ids_of[c[:-1]] + ids_of[c[-1]]) for c in ended])
         for chunks, ids in zip(run, found, strict=True):
             if None in ids:
                 ids = [new[c] if x is None else x for c, x in zip(chunks, ids, strict=True)]
