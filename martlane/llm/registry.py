@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlane.llm import ann, jaccard, licenses, lm, mixing, near_vectors, packing, quality, token_files, tokens
+from martlane.llm import (
+    ann,
+    jaccard,
+    licenses,
+    lm,
+    mixing,
+    near_vectors,
+    packing,
+    quality,
+    substrings,
+    token_files,
+    tokens,
+)
 from martlane.llm.common import table
 from martlane.session import work_folder
 
@@ -29,6 +41,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.cleaned(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -58,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack_sequences": op2_pack_sequences,
     "op3_near_vectors": op3_near_vectors,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_token_files": op7_token_files,
     "op8_license_scan": op8_license_scan,
