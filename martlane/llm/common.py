@@ -13,9 +13,14 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
+    """Sets the size of batches, unless the session came with one."""
     if BATCH not in dict(spark.sparkContext.getConf().getAll()):
         spark.conf.set(BATCH, BATCH_ROWS)
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -31,8 +36,25 @@ def parts(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+# Rows (of a few numbers each) that are broadcast at most; more are joined by shuffle.
+BROADCAST_ROWS = 1 << 20
+
+
+def side(keys: DataFrame) -> DataFrame:
+    """A written table of keys as a join's side: broadcast if it is small, checked by counting."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def matching(frame: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A semi or anti join on columns that may be null."""
+    return frame.alias("f").join(
+        keys.alias("k"), [F.col(f"f.{c}").eqNullSafe(F.col(f"k.{c}")) for c in on], how
+    )
+
+
 def documents(frame: DataFrame, *keep: str) -> DataFrame:
     """doc_id and the text as UTF-8 bytes (a null text is empty); rows without doc_id stay."""
+    small_batches(frame.sparkSession)
     return frame.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("bytes"),

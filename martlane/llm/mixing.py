@@ -216,11 +216,21 @@ def mix(
 def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents as the mix has them: each row as many times as it is taken."""
     key = ["doc_id", "source", "print"]
-    copies = mixed.groupBy(*key).agg(F.sum("copies").cast("int").alias("copies"))
-    marked = docs.withColumn("print", F.xxhash64("text")).dropDuplicates(key)
-    same = [marked[k].eqNullSafe(copies[k]) for k in key]
+    decided = mixed.groupBy(*key).agg(
+        F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows")
+    )
+    marked = docs.withColumn("print", F.xxhash64("text"))
+    joined = marked.alias("d").join(
+        decided.filter("copies > 0").alias("c"),
+        [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key],
+    )
+    own = [F.col(f"d.{c}") for c in docs.columns]
+    alone = joined.filter("rows = 1").select(*own, "copies")
+    # Equal rows are decided together: one of them is taken as often as all of them.
+    equal = joined.filter("rows > 1").select(*own, "d.print", "copies")
+    equal = equal.dropDuplicates(key).drop("print")
     return (
-        marked.join(copies.filter("copies > 0"), same)
+        alone.unionAll(equal)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*[marked[c] for c in docs.columns])
+        .select(*docs.columns)
     )

@@ -215,13 +215,8 @@ def _held_out(doc_id: str):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def score(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED
-) -> DataFrame:
-    """doc_id, held_out, score and predicted; one row per document, over its whole text.
-
-    ``labels`` has doc_id and 0/1 in the column ``label``; rows that are held out teach nothing.
-    """
+def _probability(docs: DataFrame, labels: DataFrame, label: str, most: int):
+    """The trained score as a function of a column of whole texts."""
     texts = documents(docs)
     vectors = context_vectors(texts)
     known = (
@@ -246,14 +241,30 @@ def score(
     x = np.array(rows["x"].tolist()).reshape(len(rows), 2 * DIMS)
     net = fit(x, (rows["label"].to_numpy() >= 0.5).astype(float))
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            p = net.probability(pooled(batch["bytes"], vectors))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": p})
+    @F.pandas_udf("double")
+    def probability(text: pd.Series) -> pd.Series:
+        return pd.Series(net.probability(pooled(text, vectors)))
+
+    return lambda column: probability(F.coalesce(column, F.lit("")).cast("binary"))
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED
+) -> DataFrame:
+    """doc_id, held_out, score and predicted; one row per document, over its whole text.
 
-    return texts.mapInPandas(scored, "doc_id long, score double").select(
-        "doc_id",
+    ``labels`` has doc_id and 0/1 in the column ``label``; rows that are held out teach nothing.
+    """
+    probability = _probability(docs, labels, label, most)
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(_held_out("doc_id"), F.lit(False)).alias("held_out"),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-    )
+        probability(F.col("text")).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = MOST_LABELLED
+) -> DataFrame:
+    """The documents that the classifier predicts to be good, with all their columns."""
+    return docs.filter(_probability(docs, labels, label, most)(F.col("text")) >= THRESHOLD)

@@ -42,7 +42,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.cleaned(table(spark, sf_dir, "documents"))
+    return substrings.digests(table(spark, sf_dir, "documents"))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

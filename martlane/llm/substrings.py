@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import documents, parts, written
+from martlane.llm.common import documents, matching, parts, side, written
 from martlane.llm.hashed_words import mixed, powers, prefix_sums, runs
 from martlane.llm.suffix_groups import suffix_array
 
@@ -41,7 +41,6 @@ RUN_BYTES = 250_000
 SEND_ANCHORS = 2_000_000  # anchors a task holds before it sends them
 BLOCK = 32_768  # bytes that are sorted at once
 GATHER = 1 << 20  # bytes of contexts that are compared by hash at once
-BROADCAST_ROWS = 1 << 20  # ids that are broadcast at most
 _PLACE = np.uint64((1 << 28) - 1)
 _LOW = np.uint64((1 << 40) - 1)
 
@@ -210,13 +209,13 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def _marked(flagged: DataFrame) -> DataFrame:
-    """doc_id, bytes, spans of the covered contexts, and the open contexts."""
+    """doc_id, bytes, print, spans of the covered contexts, and the open contexts."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, text, covered, opened in zip(
-                batch["doc_id"], batch["bytes"], batch["covered"], batch["open"], strict=True
+            for doc, text, number, covered, opened in zip(
+                *(batch[c] for c in ("doc_id", "bytes", "print", "covered", "open")), strict=True
             ):
                 found = Anchors([text])
                 keys = found.keys()
@@ -230,18 +229,18 @@ def _marked(flagged: DataFrame) -> DataFrame:
                 ]
                 out.append(
                     (
-                        *(doc, text, merged(spans).astype("<i8").tobytes()),
+                        *(doc, text, number, merged(spans).astype("<i8").tobytes()),
                         *((found.anchor[at] >> np.uint64(1)).astype(np.int64), found.first[at]),
                         contexts,
                     )
                 )
-            columns = ["doc_id", "bytes", "spans", "anchors", "starts", "contexts"]
+            columns = ["doc_id", "bytes", "print", "spans", "anchors", "starts", "contexts"]
             yield pd.DataFrame(out, columns=columns)
 
     return flagged.mapInPandas(
         rows,
-        "doc_id long, bytes binary, spans binary, anchors array<long>, starts array<long>, "
-        "contexts array<binary>",
+        "doc_id long, bytes binary, print long, spans binary, anchors array<long>, "
+        "starts array<long>, contexts array<binary>",
     )
 
 
@@ -359,57 +358,88 @@ def _met(contexts: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def cleaned(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256; with ``with_bytes`` also the remaining
-    bytes (``kept``) of the documents that lost any, null for the others."""
-    texts = documents(docs)
-    flags = written(_flags(texts), "substring-flags")
+def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The ids of documents that may repeat something; the other documents' texts; and of the
+    former doc_id, bytes, print, spans and more (stretches to remove)."""
+    texts = documents(docs, F.xxhash64("text").alias("print"))
+    flags = written(_flags(texts.drop("print")), "substring-flags")
     ids = written(flags.select("doc_id").distinct(), "substring-ids")
-    small = ids.count() <= BROADCAST_ROWS
-    side = F.broadcast(ids) if small else ids
     each = flags.groupBy("doc_id").agg(
         F.collect_list("covered").alias("covered"), F.collect_list("open").alias("open")
     )
-    flagged = texts.join(side, "doc_id", "left_semi").join(each, "doc_id")
+    flagged = texts.join(side(ids), "doc_id", "left_semi").join(each, "doc_id")
     marked = written(_marked(flagged), "substring-marked")
     contexts = marked.select(
         "doc_id", F.explode(F.arrays_zip("anchors", "starts", "contexts")).alias("x")
     ).select(F.col("x.anchors").alias("anchor"), "doc_id", "x.starts", "x.contexts")
-    more = (
-        _met(contexts)
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.array("start", "stop")).alias("more"))
-    )
+    stretches = F.collect_list(F.array("start", "stop")).alias("more")
+    more = _met(contexts).groupBy("doc_id").agg(stretches)
+    touched = marked.select("doc_id", "bytes", "print", "spans").join(more, "doc_id", "left")
+    return ids, texts.join(side(ids), "doc_id", "left_anti"), touched
+
+
+def _cut(text: bytes, spans: bytes, more) -> tuple[bytes, np.ndarray]:
+    own = [np.frombuffer(spans, "<i8").reshape(-1, 2)]
+    if more is not None:
+        own += [np.asarray(x).reshape(1, 2) for x in more]
+    gone = merged(np.concatenate(own))
+    edges = [0, *gone.ravel().tolist(), len(text)]
+    return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), gone
+
+
+def _cuts(batch: pd.DataFrame) -> list[tuple[bytes, np.ndarray]]:
+    rows = zip(batch["bytes"], batch["spans"], batch["more"], strict=True)
+    return [_cut(text, spans, more) for text, spans, more in rows]
+
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256; one row per document."""
+    _, others, touched = _parted(docs)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for doc, text, spans, found in zip(
-                batch["doc_id"], batch["bytes"], batch["spans"], batch["more"], strict=True
-            ):
-                own = [np.frombuffer(spans, "<i8").reshape(-1, 2)]
-                if found is not None:
-                    own += [np.asarray(x).reshape(1, 2) for x in found]
-                gone = merged(np.concatenate(own))
-                edges = [0, *gone.ravel().tolist(), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append(
-                    (
-                        *(doc, len(text), len(text) - len(kept), len(gone)),
-                        *(hashlib.sha256(kept).hexdigest(), kept if len(gone) else None),
-                    )
-                )
-            columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            yield pd.DataFrame(out, columns=columns)[columns[: 5 + with_bytes]]
+            cuts = _cuts(batch)
+            n_bytes = np.array([len(x) for x in batch["bytes"]], np.int64)
+            yield pd.DataFrame(
+                {
+                    **{"doc_id": batch["doc_id"], "n_bytes": n_bytes},
+                    "n_removed": n_bytes - np.array([len(x) for x, _ in cuts], np.int64),
+                    "n_spans": [len(gone) for _, gone in cuts],
+                    "kept_sha256": [hashlib.sha256(x).hexdigest() for x, _ in cuts],
+                }
+            )
 
-    result = RESULT + ", kept binary" * with_bytes
-    touched = marked.select("doc_id", "bytes", "spans").join(more, "doc_id", "left")
-    untouched = texts.join(side, "doc_id", "left_anti").select(
+    untouched = others.select(
         "doc_id",
         F.octet_length("bytes").cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"),
         F.lit(0).cast("long").alias("n_spans"),
         F.sha2("bytes", 256).alias("kept_sha256"),
-        *([F.lit(None).cast("binary").alias("kept")] * with_bytes),
     )
-    return untouched.unionAll(touched.mapInPandas(cut, result))
+    return untouched.unionAll(touched.mapInPandas(rows, RESULT))
+
+
+def removed(docs: DataFrame) -> DataFrame:
+    """The documents without what they repeat: all columns, with the new text and n_chars.
+
+    Pieces of characters that a cut leaves behind go too. A null text of a document that
+    repeats nothing stays null.
+    """
+    ids, _, touched = _parted(docs)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [kept.decode("utf-8", "ignore") for kept, _ in _cuts(batch)]
+            yield batch[["doc_id", "print"]].assign(text=texts)
+
+    new = touched.mapInPandas(rows, "doc_id long, print long, text string").dropDuplicates(
+        ["doc_id", "print"]
+    )
+    marked = docs.withColumn("print", F.xxhash64("text"))
+    others = matching(marked, side(ids), ["doc_id"], "left_anti")
+    changed = (
+        matching(marked, side(ids), ["doc_id"], "left_semi").drop("text", "n_chars")
+        .join(new, ["doc_id", "print"])
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+    )
+    return others.select(*docs.columns).unionAll(changed.select(*docs.columns))
