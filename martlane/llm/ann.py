@@ -86,7 +86,7 @@ class Cells:
     """The cells of one table, their portions and the groups these belong to."""
 
     def __init__(self, table: int, numbers: np.ndarray, counts: np.ndarray, first_group: int):
-        self.table, self.numbers = table, numbers
+        self.table, self.numbers, self.counts = table, numbers, counts
         self.portions = -(-counts // PORTION_ROWS)
         self.first = np.cumsum(self.portions) - self.portions
         rows = np.repeat(counts / self.portions, self.portions)
@@ -98,15 +98,17 @@ class Cells:
         spread = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
         return self.first[at] + (spread % self.portions[at].astype(np.uint64)).astype(np.int64)
 
-    def visited(self, projected: np.ndarray, distance: float) -> list[np.ndarray]:
-        """Each query's portions, until the chances of their cells add up to SUCCESS."""
+    def visited(self, projected: np.ndarray, distance: float, least: int) -> list[np.ndarray]:
+        """Each query's portions, until the chances of their cells add up to SUCCESS and they
+        hold so many rows at least."""
         found = []
         for row in projected:
             low = (self.low - row) / distance
             chance = np.prod(_normal(low + WIDTH / distance) - _normal(low), axis=1)
             order = np.argsort(-chance, kind="stable")
             sums = np.cumsum(chance[order])
-            cells = order[: np.searchsorted(sums, SUCCESS * sums[-1]) + 1]
+            enough = np.searchsorted(np.cumsum(self.counts[order]), least)
+            cells = order[: max(np.searchsorted(sums, SUCCESS * sums[-1]), enough) + 1]
             found.append(
                 np.concatenate([self.first[c] + np.arange(self.portions[c]) for c in cells])
             )
@@ -197,7 +199,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             placed = hashes.projected(matrix(batch["embedding"]), True)
             for own, projected in zip(tables, placed, strict=True):
                 sent = []
-                visits = own.visited(projected, distance)
+                visits = own.visited(projected, distance, k + 1)
                 for vec_id, vector, to in zip(
                     batch["vec_id"], batch["embedding"], visits, strict=True
                 ):

@@ -1,7 +1,8 @@
 """Cross-entropy difference of matched n-gram models.
 
 A target model is counted from chosen documents, a background model from all of
-them. Both share one vocabulary, one list of word pairs and one smoothing, so the
+them. Both share one vocabulary, one list of word pairs and one smoothing, and the target
+counts are added to a few counts' worth of the background's shares, so the
 difference of their losses on a document, per word, says how much more it is like
 the target than like the rest, and nothing of how rare its words are.
 
@@ -13,8 +14,8 @@ one task alone. What the tasks get back to score with is bounded by WORDS and PA
 
 Defined results: a null or empty text, or one without words, has no losses and
 score 0; rows with equal doc_id are scored each for itself; a document is a target
-if its id is among the targets' (nulls are not); without targets the target model
-gives all words of the vocabulary one probability; an empty table gives an empty
+if its id is among the targets' (nulls are not); without targets the two models are
+one and all scores are 0; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -32,6 +33,8 @@ from martlane.llm.hashed_words import mixed, runs, words
 
 WORDS = 1 << 16
 PAIRS = 1 << 18
+PRIOR_WORDS = 1000.0  # words' worth of background shares that the target counts start from
+PRIOR_PAIRS = 10.0  # the same after each word
 KEPT = 0.5  # weight of the pair's own share beside the word's
 ROOM = 3_000_000  # numbers a task holds before it adds them up
 BROADCAST_ROWS = 1 << 20  # ids of targets that are broadcast at most
@@ -156,17 +159,19 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class Models:
-    """Both models' log probabilities; the last word stands for all unknown ones."""
+    """Both models' word and pair shares; the last of each stands for all unknown ones, which
+    are as likely in both."""
 
     def __init__(self, vocabulary: pd.DataFrame, pairs: pd.DataFrame):
         self.words = vocabulary["key"].to_numpy(np.uint64)
         self.pairs = pairs["key"].to_numpy(np.uint64)
-        self.single, self.double, self.before = [], [], []
-        for column in ("n", "n_target"):
-            n = np.append(vocabulary[column].to_numpy(np.float64), 0.0)
-            self.single.append((n + 1) / (n.sum() + len(n)))
-            self.before.append(np.maximum(n, 1))
-            self.double.append(np.append(pairs[column].to_numpy(np.float64), 0.0))
+        n = np.append(vocabulary["n"].to_numpy(np.float64), 0.0)
+        n_target = np.append(vocabulary["n_target"].to_numpy(np.float64), 0.0)
+        single = (n + 1) / (n.sum() + len(n))
+        known = (n_target + PRIOR_WORDS * single) / (n_target.sum() + PRIOR_WORDS)
+        self.single = [single, np.append(known[:-1], single[-1])]
+        self.before = [n, n_target]
+        self.double = [np.append(pairs[c].to_numpy(np.float64), 0.0) for c in ("n", "n_target")]
 
     def losses(self, own: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
         """Of the background and of the target model, word by word."""
@@ -174,10 +179,15 @@ class Models:
         keys = pair_keys(np.concatenate([own[:1], own[:-1]]), own)
         pair = np.where(begins, len(self.pairs), _place(self.pairs, keys))
         last = np.concatenate([at[:1], at[:-1]])
+        seen = [before[last] for before in self.before]
+        share = np.minimum(self.double[0][pair] / np.maximum(seen[0], 1), 1)
+        target = (self.double[1][pair] + PRIOR_PAIRS * share) / (seen[1] + PRIOR_PAIRS)
+        shares = [share, np.minimum(target, 1)]
+        unknown = at == len(self.words)
         found = []
-        for single, double, before in zip(self.single, self.double, self.before, strict=True):
-            share = np.minimum(double[pair] / before[last], 1)
-            found.append(-np.log(KEPT * share + (1 - KEPT) * single[at]))
+        for single, own_share in zip(self.single, shares, strict=True):
+            own_share = np.where(unknown, 0, own_share)
+            found.append(-np.log(KEPT * own_share + (1 - KEPT) * single[at]))
         return found
 
 

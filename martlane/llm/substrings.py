@@ -324,7 +324,8 @@ def repeats(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]
         if size >= BLOCK:
             flush()
             block, size = {}, 0
-    flush()
+    if block:
+        flush()
     return found
 
 

@@ -1,0 +1,440 @@
+"""Each operator on small tables against brute force, with all the odd rows at once."""
+
+import hashlib
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from martlane.llm import (
+    ann,
+    jaccard,
+    licenses,
+    lm,
+    mixing,
+    near_vectors,
+    packing,
+    quality,
+    substrings,
+    token_files,
+    tokens,
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, bytes int, class string"
+
+
+def sentences(draw, n, top=60):
+    return " ".join(f"w{draw.randint(1, top)}" for _ in range(n))
+
+
+def odd_texts():
+    """Copies, near copies, shared passages, short, empty, null, long and repeated texts."""
+    draw = random.Random(4)
+    base = [sentences(draw, 120, 5000) for _ in range(12)]
+    shared = sentences(draw, 40, 5000)
+    texts = []
+    for text in base:
+        words = text.split()
+        texts.append(text)
+        for changes in (1, 3, 9):
+            own = list(words)
+            for _ in range(changes):
+                own[draw.randrange(len(own))] = f"x{draw.randint(1, 9)}"
+            texts.append(" ".join(own))
+    texts += [t[:300] + " " + shared + " " + t[300:] for t in base[:6]]
+    texts += [base[0], base[0], base[1].upper(), None, "", " \n ", "one", "one two", "One  two"]
+    texts += ["é" * 60, "é" * 40 + "z" + "é" * 60, "ab" * 400, "\x00" * 120, shared]
+    texts += [sentences(draw, 9000, 200), sentences(draw, 9000, 200)]
+    texts += ["MIT License. under the mit license and Apache License, Version 2.0 cc-by-nc"]
+    draw.shuffle(texts)
+    return texts
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(6)
+    texts = odd_texts()
+    ids = draw.sample(range(10_000), len(texts))
+    sources = ["a", "b", "B", "", "é", None, "long"]
+    return [
+        (i, t, "en", sources[k % 7], None if t is None else len(t), k, "c")
+        for k, (i, t) in enumerate(zip(ids, texts, strict=True))
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def nulls(spark):
+    """Rows without ids and rows that are there twice."""
+    text = "some words that are long enough to be removed when they come again here"
+    rows = [(None, text), (None, text), (5, text), (5, text), (5, "other"), (None, None), (7, text)]
+    return spark.createDataFrame(
+        [(i, t, "en", None, 1, 0, "c") for i, t in rows], DOCS
+    )
+
+
+def components(ids, linked):
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def shingles(text, size):
+    words = (text or "").encode().lower().split()
+    if len(words) < size:
+        return {tuple(words)} - {()}
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def near(sets, percent):
+    for a, b in combinations(sets, 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= percent * len(x | y):
+            yield a, b
+
+
+@pytest.mark.parametrize(("size", "percent", "frequent"), [(3, 90, 1 << 18), (5, 80, 20)])
+def test_jaccard(docs, rows, size, percent, frequent, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "SEEN", 2)
+    monkeypatch.setattr(jaccard, "PORTION", 2)
+    sets = {r[0]: shingles(r[1], size) for r in rows}
+    want = components(sets, near(sets, percent))
+    got = jaccard.join(docs, size, percent).collect()
+    assert {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(got) == len(rows)
+
+
+def test_jaccard_keeps_one_of_each_group(docs, rows, nulls, nothing):
+    sets = {r[0]: shingles(r[1], 5) for r in rows}
+    roots = components(sets, near(sets, 80))
+    kept = jaccard.kept(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots.values()))
+    left = jaccard.kept(nulls).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text) for r in left if r.text) == [
+        (False, 5, "other"),
+        (False, 5, nulls.first().text),
+    ]
+    assert jaccard.kept(nothing).count() == 0
+
+
+def covered(texts):
+    """Each document's bytes that an earlier one has too; by id."""
+    first = {}
+    for i in sorted(texts):
+        b = texts[i]
+        for k in range(len(b) - 49):
+            first.setdefault(b[k : k + 50], i)
+    out = {}
+    for i, b in texts.items():
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 49):
+            if first[b[k : k + 50]] < i:
+                gone[k : k + 50] = True
+        out[i] = gone
+    return out
+
+
+@pytest.mark.parametrize("block", [200, 32_768])
+def test_substrings(docs, rows, block, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK", block)
+    texts = {r[0]: (r[1] or "").encode() for r in rows}
+    gone = covered(texts)
+    got = substrings.digests(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        b, g = texts[r.doc_id], gone[r.doc_id]
+        kept = bytes(np.frombuffer(b, np.uint8)[~g])
+        runs = int((np.diff(np.concatenate([[0], g.astype(int)])) == 1).sum())
+        want = (len(b), int(g.sum()), runs, hashlib.sha256(kept).hexdigest())
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want
+    assert sum(g.sum() for g in gone.values()) > 0
+
+
+def test_substrings_leave_texts(docs, rows, nulls, nothing):
+    texts = {r[0]: (r[1] or "").encode() for r in rows}
+    gone = covered(texts)
+    left = substrings.removed(docs)
+    assert left.columns == docs.columns
+    for r in left.collect():
+        kept = bytes(np.frombuffer(texts[r.doc_id], np.uint8)[~gone[r.doc_id]])
+        if gone[r.doc_id].any():
+            assert r.text == kept.decode("utf-8", "ignore")
+            assert r.n_chars == len(r.text)
+        else:
+            assert (r.text or "").encode() == kept
+    text = nulls.first().text
+    got = sorted(
+        ((r.doc_id, r.text) for r in substrings.removed(nulls).collect()), key=lambda x: str(x)
+    )
+    assert got == sorted(
+        [(None, text)] * 2 + [(5, text)] * 2 + [(5, "other"), (None, None), (7, "")],
+        key=lambda x: str(x),
+    )
+    assert substrings.digests(nothing).count() == 0
+
+
+def test_mixing(docs, rows, nulls, nothing):
+    got = mixing.mix(docs, shard_rows=8, left_shards=2).collect()
+    assert len(got) == len(rows)
+    size = {r[0]: len((r[1] or "").encode().split()) for r in rows}
+    of = {r[0]: r[3] for r in rows}
+    sizes = {}
+    for i, n in size.items():
+        sizes[of[i]] = sizes.get(of[i], 0) + n
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    total, full = 1.5 * sum(sizes.values()), set()
+    while True:
+        rest = total - sum(2 * sizes[s] for s in full)
+        free = sum(weight[s] for s in order if s not in full)
+        target = {s: 2 * sizes[s] if s in full else rest * weight[s] / free for s in order}
+        more = {s for s in order if target[s] > 2 * sizes[s]}
+        if not more:
+            break
+        full |= more
+    taken = dict.fromkeys(order, 0)
+    for r in got:
+        assert (r.size, r.source_size) == (size[r.doc_id], sizes[of[r.doc_id]])
+        assert r.target == pytest.approx(target[of[r.doc_id]])
+        assert r.taken in (0, r.size, 2 * r.size)
+        taken[of[r.doc_id]] += r.taken
+    for s in order:
+        largest = max(n for i, n in size.items() if of[i] == s)
+        assert abs(taken[s] - target[s]) <= largest
+    key = lambda rows: sorted((r.doc_id, r.taken) for r in rows)
+    assert key(got) == key(mixing.mix(docs.repartition(5), shard_rows=8, left_shards=2).collect())
+    mixed = mixing.mix(docs)
+    took = mixing.take(docs, mixed)
+    assert took.columns == docs.columns
+    assert took.count() == sum(r.copies for r in mixed.collect())
+    again = mixing.mix(nulls)
+    assert mixing.take(nulls, again).count() == sum(r.copies for r in again.collect())
+    assert mixing.mix(nothing).count() == 0
+
+
+def test_packing(docs, rows, nulls, nothing):
+    content = tokens.public(tokens.BYTE_BPE)
+    library = Tokenizer.from_str(content)
+    library.encode_special_tokens = True
+    got = packing.pack(docs, content, capacity=128).collect()
+    want = {}
+    for r in rows:
+        ids = library.encode(r[1] or "", add_special_tokens=False).ids + [0]
+        n = -(-len(ids) // 128)
+        starts = [0, *range(len(ids) - 128 * (n - 1), len(ids), 128)]
+        for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
+            crc = zlib.crc32(np.array(ids[a:b], "<u4").tobytes())
+            want[r[0], piece] = (a, b - a, crc)
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in got} == want
+    whole = sum(length for _, length, _ in want.values())
+    assert len({r.sequence_id for r in got}) <= 1.1 * whole / 128 + 1
+    for frame in (got, packing.pack(nulls, content, 128).collect()):
+        sequences = {}
+        for r in frame:
+            sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for own in sequences.values():
+            filled = 0
+            for offset, length in sorted(own):
+                assert offset == filled
+                filled += length
+            assert filled <= 128
+    assert packing.pack(nothing, content).count() == 0
+
+
+def test_token_files(spark, docs, rows, nulls, nothing, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 300)
+    content = tokens.public(tokens.WORD_BPE)
+    library = Tokenizer.from_str(content)
+    library.encode_special_tokens = True
+    path = str(tmp_path / "files")
+    token_files.write(docs, content, path)
+    start, want = 0, []
+    for i, text in sorted((r[0], r[1] or "") for r in rows):
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, token_files.read(spark, path).collect())) == want
+    token_files.write(nulls, content, str(tmp_path / "nulls"))
+    ids = [r.doc_id for r in token_files.read(spark, str(tmp_path / "nulls")).orderBy("start").collect()]
+    assert ids == [None, None, None, 5, 5, 5, 7]
+    token_files.write(nothing, content, str(tmp_path / "nothing"))
+    assert token_files.read(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_licenses(docs, rows, nulls, nothing):
+    rules = licenses.rules()
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs).collect()}
+    want = {r[0]: licenses.scan_text((r[1] or "").encode(), rules) for r in rows}
+    assert got == want
+    assert licenses.scan(nulls).count() == 7
+    assert licenses.scan(nothing).count() == 0
+
+
+def test_quality(spark, docs, rows, nulls, nothing):
+    junk = spark.createDataFrame(
+        [(20_000 + k, "$$ " * (k % 7 + 3) + "w1 %% w2 %%" * 9, "en", "a", 1, 0, "c") for k in range(120)]
+        + [(30_000 + k, sentences(random.Random(k), 60), "en", "a", 1, 0, "c") for k in range(240)],
+        DOCS,
+    )
+    labels = [(20_000 + k, 0) for k in range(120)] + [(30_000 + k, 1) for k in range(240)]
+    labels = spark.createDataFrame(
+        [*labels, (None, 1), (30_000, None)], "doc_id long, quality int"
+    )
+    table = docs.unionAll(junk)
+    got = {r.doc_id: r for r in quality.score(table, labels).collect()}
+    assert len(got) == len(rows) + 360
+    for i, r in got.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.7)
+    right = [(got[i].predicted == 1) == (i >= 30_000) for i in got if i >= 20_000 and got[i].held_out]
+    assert sum(right) >= 0.97 * len(right)
+    kept = quality.accepted(table, labels)
+    assert kept.columns == table.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.predicted}
+    # Other labels of held-out rows change nothing.
+    flipped = labels.selectExpr(
+        "doc_id", "if(pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2, 1 - quality, quality)"
+        " as quality"
+    )
+    again = {r.doc_id: r.score for r in quality.score(table, flipped).collect()}
+    assert again == pytest.approx({i: r.score for i, r in got.items()}, abs=1e-6)
+    assert quality.score(nulls, labels).count() == 7
+    assert quality.score(nothing, labels).count() == 0
+    assert {r.score for r in quality.score(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_language_models(spark, docs, rows, nulls, nothing):
+    like = sentences(random.Random(8), 200, 20)
+    table = docs.unionAll(
+        spark.createDataFrame(
+            [(40_000 + k, like, "en", "a", 1, 0, "c") for k in range(3)]
+            + [(50_000 + k, sentences(random.Random(k), 300, 4000), "en", "a", 1, 0, "c") for k in range(9)],
+            DOCS,
+        )
+    )
+    targets = spark.createDataFrame([(40_000,), (None,), (40_001,), (40_001,)], "doc_id long")
+    got = {r.doc_id: r for r in lm.score(table, targets).collect()}
+    assert len(got) == len(rows) + 12
+    assert got[40_002].score > max(got[50_000 + k].score for k in range(9)) + 0.5
+    assert [got[40_000 + k].is_target for k in range(3)] == [True, True, False]
+    for r in rows:
+        assert got[r[0]].n_words == len((r[1] or "").encode().split())
+        if not got[r[0]].n_words:
+            assert got[r[0]].score == 0
+    # The models against plain counts.
+    counts, pairs, n = {}, {}, 0
+    for r in table.collect():
+        words = (r.text or "").encode().lower().split()
+        for w in words:
+            counts[w] = counts.get(w, 0) + 1
+        for p in zip(words, words[1:], strict=False):
+            pairs[p] = pairs.get(p, 0) + 1
+    known = {w: c for w, c in counts.items() if c > 1}
+    pairs = {p: c for p, c in pairs.items() if c > 1 and p[0] in known and p[1] in known}
+    n, size = sum(known.values()), len(known) + 1
+    words, loss = like.encode().split(), 0.0
+    for k, w in enumerate(words):
+        share = pairs.get((words[k - 1], w), 0) / known[words[k - 1]] if k else 0
+        loss -= np.log(0.5 * min(share, 1) + 0.5 * (known.get(w, 0) + 1) / (n + size))
+    assert got[40_000].background_loss == pytest.approx(loss / len(words))
+    assert lm.score(nulls, targets).count() == 7
+    assert lm.score(nothing, targets).count() == 0
+    assert max(abs(r.score) for r in lm.score(docs, targets.limit(0)).collect()) < 1e-12
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, rank int, cell string"
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(40, 16))
+    rows = []
+    for k in range(900):
+        x = base[k % 40] + draw.normal(size=16) * (0.05 if k % 3 else 0.9)
+        rows.append((k, [float(v) for v in np.float32(x)], k % 4, 0, "c"))
+    same = rows[7][1]
+    rows += [(1000 + k, same, 3, 0, "c") for k in range(30)]
+    rows += [
+        (2000, None, 1, 0, "c"), (2020, [], 1, 0, "c"), (2040, [0.0] * 16, 1, 0, "c"),
+        (2060, [float("nan")] * 16, 1, 0, "c"), (2080, [None] + [1.0] * 15, 1, 0, "c"),
+        (2100, [float("inf")] * 16, 1, 0, "c"), (2120, same, None, 0, "c"),
+    ]
+    return rows, spark.createDataFrame(rows, VECTORS).repartition(3)
+
+
+def usable(rows):
+    good = [r for r in rows if r[1] and None not in r[1] and np.isfinite(r[1]).all() and any(r[1])]
+    return good, np.array([r[1] for r in good], float)
+
+
+def test_search(spark, vectors):
+    rows, frame = vectors
+    good, x = usable(rows)
+    ids = np.array([r[0] for r in good])
+    got = {}
+    for r in ann.search(frame, frame.filter("vec_id % 20 = 0"), k=20).collect():
+        got.setdefault(r.query_id, []).append(r)
+    assert set(got) == {i for i in ids if i % 20 == 0}
+    found = 0
+    for i, own in got.items():
+        own.sort(key=lambda r: r.rank)
+        at = list(ids).index(i)
+        scores = (x[at] * x).sum(1)
+        others = sorted((-s, j) for s, j in zip(scores, ids, strict=True) if j != i)[:20]
+        assert [r.rank for r in own] == list(range(1, 21))
+        assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
+        for r in own:
+            assert r.score == pytest.approx(scores[list(ids).index(r.vec_id)], abs=1e-9)
+        found += len({j for _, j in others} & {r.vec_id for r in own})
+    assert found >= 0.9 * 20 * len(got)
+    empty = frame.limit(0)
+    assert ann.search(empty, empty).count() == 0
+    few = frame.filter("vec_id < 5")
+    assert ann.search(few, few).count() == 20
+
+
+def test_near_vectors(vectors, monkeypatch):
+    rows, frame = vectors
+    good, x = usable([r for r in rows if r[2] is not None])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in good])
+    linked = (x @ x.T >= 0.93) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    ids = [r[0] for r in good]
+    pairs = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked), strict=True)]
+    want = components([r[0] for r in rows], pairs)
+    for portion in (near_vectors.PORTION_ROWS, 16):
+        links = near_vectors.link(frame, portion_rows=portion).groupBy("vec_id").sum("links").collect()
+        assert sum(r[1] for r in links) >= 0.99 * linked.sum()
+    got = {r.vec_id: r for r in near_vectors.near_duplicates(frame).collect()}
+    assert set(got) == {r[0] for r in rows}
+    true = dict(zip(ids, linked.sum(1).tolist(), strict=True))
+    assert all(r.n_links <= true.get(i, 0) for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.99 * linked.sum()
+    assert sum(want[i] == r.component_id for i, r in got.items()) >= 0.99 * len(want)
+    assert all(r.kept == (r.component_id == i) for i, r in got.items())
+    assert near_vectors.near_duplicates(frame.limit(0)).count() == 0
