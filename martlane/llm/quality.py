@@ -141,13 +141,10 @@ def pooled(texts, vectors: np.ndarray) -> np.ndarray:
     found = []
     for run in runs(texts):
         words, shapes, cuts = signs(run)
+        spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
         n = np.maximum(np.diff(cuts), 1)[:, None]
-        of_run = []
-        for rows in (words, shapes):
-            sums = np.zeros((len(rows) + 1, DIMS), np.float64)
-            np.cumsum(vectors[rows], axis=0, out=sums[1:])
-            of_run.append((sums[cuts[1:]] - sums[cuts[:-1]]) / n)
-        found.append(np.concatenate(of_run, axis=1))
+        sums = [np.stack([vectors[rows[a:b]].sum(0) for a, b in spans]) for rows in (words, shapes)]
+        found.append(np.concatenate(sums, axis=1) / n)
     return np.concatenate(found) if found else np.zeros((0, 2 * DIMS))
 
 
