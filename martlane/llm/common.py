@@ -75,3 +75,27 @@ def kept_by_worker(name: str, make):
     if not hasattr(held, name):
         setattr(held, name, make())
     return getattr(held, name)
+
+
+def most_counted(counts: DataFrame, key: str, n: str, most: int) -> DataFrame:
+    """About ``most`` rows of a written table of counts, those with the largest ones.
+
+    No row is sent anywhere to be ranked: the numbers of rows per level of the count
+    (exact ones up to 1024, then steps of about one in a hundred) say which levels fit;
+    of the first that does not, rows are taken by a hash of their key.
+    """
+    size = F.col(n).cast("double")
+    steps = F.lit(1024) + F.floor(F.log2(size / 1024) * 64)
+    level = F.when(size < 1024, F.col(n).cast("long")).otherwise(steps.cast("long"))
+    # A few thousand levels at most: 64 for every doubling.
+    rows = counts.groupBy(level.alias("level")).count().collect()
+    whole, share, room = None, 0.0, most
+    for at, count in sorted(((r["level"], r["count"]) for r in rows), reverse=True):
+        if count > room:
+            whole, share = at, room / count
+            break
+        room -= count
+    if whole is None:
+        return counts
+    chosen = F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * 0.99 * (1 << 30))
+    return counts.filter((level > whole) | ((level == whole) & chosen))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import documents, parts, written
+from martlane.llm.common import documents, most_counted, parts, written
 from martlane.llm.hashed_words import mixed, runs, words
 
 WORDS = 1 << 16
@@ -50,7 +50,7 @@ def _summed(keys: np.ndarray, n: np.ndarray, n_target: np.ndarray):
 
 
 def most_frequent(texts: DataFrame, numbers: Numbers, most: int) -> pd.DataFrame:
-    """key, n and n_target of the ``most`` frequent numbers that occur twice or more, by key.
+    """key, n and n_target of about ``most`` frequent numbers that occur twice or more, by key.
 
     ``texts`` has bytes and target; ``numbers`` gets the words of a run of texts and which
     of them begin a text, and returns keys and the place of each key's first word.
@@ -122,15 +122,13 @@ def most_frequent(texts: DataFrame, numbers: Numbers, most: int) -> pd.DataFrame
         if held:
             yield out()
 
-    top = (
+    counts = (
         texts.mapInPandas(counted, COUNTS)
         .repartition(parts(texts.sparkSession), "part")
         .sortWithinPartitions("part")
         .mapInPandas(totals, "key long, n long, n_target long")
-        .orderBy(F.desc("n"), "key")
-        .limit(most)
-        .toPandas()
     )
+    top = most_counted(written(counts, "lm-counts"), "key", "n", most).toPandas()
     top["key"] = top["key"].to_numpy(np.int64).view(np.uint64)
     return top.sort_values("key").reset_index(drop=True)
 
