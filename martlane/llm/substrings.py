@@ -101,7 +101,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _flags(texts: DataFrame) -> DataFrame:
-    """doc_id with the keys of its covered and of its open contexts, in parts."""
+    """doc_id with the keys of its covered and of its open contexts; one row per document."""
     n = parts(texts.sparkSession)
 
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,11 +169,38 @@ def _flags(texts: DataFrame) -> DataFrame:
             kept = np.flatnonzero(covered | is_open)
             keys = mixed(anchors[kept] * np.uint64(0x9E6C63D0876A9A47) + contexts[kept])
             ids, opened = docs[kept], is_open[kept]
+            deal = mixed(ids.view(np.uint64)) % np.uint64(n)
+            rows = [
+                (k, ids[own].tobytes(), keys[own].tobytes(), opened[own].tobytes())
+                for k in np.unique(deal)
+                if len(own := np.flatnonzero(deal == k))
+            ]
+            return pd.DataFrame(rows, columns=["part", "docs", "keys", "opened"])
+
+        for batch in batches:
+            for row in batch.itertuples(index=False, name=None):
+                if row[0] != now and held:
+                    yield out()
+                    held = []
+                now = row[0]
+                held.append(row[1:])
+        if held:
+            yield out()
+
+    def by_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+
+        def out() -> pd.DataFrame:
+            kinds = (np.int64, np.uint64, np.bool_)
+            ids, keys, opened = (
+                np.concatenate([np.frombuffer(x[c], kind) for x in held])
+                for c, kind in enumerate(kinds)
+            )
             order = np.argsort(ids, kind="stable")
             ids, keys, opened = ids[order], keys[order], opened[order]
-            cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
+            cuts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]]))
             rows = []
-            for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True) if len(ids) else ():
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 own, of = keys[a:b], opened[a:b]
                 rows.append((ids[a], own[~of].tobytes(), own[of].tobytes()))
             return pd.DataFrame(rows, columns=["doc_id", "covered", "open"])
@@ -188,13 +215,15 @@ def _flags(texts: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    columns = "part int, docs binary, counts binary, anchors binary, contexts binary"
     return (
         texts.filter("doc_id is not null")
-        .mapInPandas(sent, columns)
+        .mapInPandas(sent, "part int, docs binary, counts binary, anchors binary, contexts binary")
+        .repartition(n, "part")
+        .sortWithinPartitions("part")
+        .mapInPandas(judged, "part int, docs binary, keys binary, opened binary")
         .repartition(n, "part")
         .sortWithinPartitions("part")
-        .mapInPandas(judged, "doc_id long, covered binary, open binary")
+        .mapInPandas(by_document, "doc_id long, covered binary, open binary")
     )
 
 
@@ -219,8 +248,8 @@ def _marked(flagged: DataFrame) -> DataFrame:
             ):
                 found = Anchors([text])
                 keys = found.keys()
-                is_covered = np.isin(keys, np.frombuffer(b"".join(covered), np.uint64))
-                is_open = np.isin(keys, np.frombuffer(b"".join(opened), np.uint64)) & ~is_covered
+                is_covered = np.isin(keys, np.frombuffer(covered, np.uint64))
+                is_open = np.isin(keys, np.frombuffer(opened, np.uint64)) & ~is_covered
                 spans = np.stack([found.first[is_covered], found.last[is_covered] + LENGTH], axis=1)
                 at = np.flatnonzero(is_open)
                 contexts = [
@@ -364,11 +393,8 @@ def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     former doc_id, bytes, print, spans and more (stretches to remove)."""
     texts = documents(docs, F.xxhash64("text").alias("print"))
     flags = written(_flags(texts.drop("print")), "substring-flags")
-    ids = written(flags.select("doc_id").distinct(), "substring-ids")
-    each = flags.groupBy("doc_id").agg(
-        F.collect_list("covered").alias("covered"), F.collect_list("open").alias("open")
-    )
-    flagged = texts.join(side(ids), "doc_id", "left_semi").join(each, "doc_id")
+    ids = flags.select("doc_id")
+    flagged = texts.join(side(ids), "doc_id", "left_semi").join(flags, "doc_id")
     marked = written(_marked(flagged), "substring-marked")
     contexts = marked.select(
         "doc_id", F.explode(F.arrays_zip("anchors", "starts", "contexts")).alias("x")
