@@ -128,14 +128,15 @@ TABLES: dict[str, str] = {
           p_size >= 25 AS requires_customs_declaration, DATE '2021-01-01' + p_size AS created_at
         FROM part""",
     "product_tariff": """
-        SELECT p_partkey || '-' || n AS tariff_id, p_partkey::VARCHAR AS product_id,
+        SELECT p_partkey || '-' || n AS tariff_id,
+          CASE WHEN p_type = 'STANDARD' THEN 'old-' ELSE '' END || p_partkey AS product_id,
           lpad(p_size::VARCHAR, 8, '0') AS hs_code, p_type || ' ' || p_brand AS description,
           (p_size % 9 + n)::DECIMAL(5,2) AS duty_rate_pct,
           CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN 2.50 ELSE 7.70 END::DECIMAL(5,2)
             AS vat_rate_pct,
           (p_size % 3)::DECIMAL(5,2) AS preferential_rate_pct
         FROM part JOIN (VALUES (1), (2)) AS numbers(n)
-          ON p_type <> 'STANDARD' AND (n = 1 OR p_type = 'PROMO')""",
+          ON n = 1 OR p_type = 'PROMO'""",
     "shipment": """
         SELECT l_orderkey || '-' || l_returnflag AS shipment_id, l_orderkey::VARCHAR AS order_id,
           min(l_suppkey)::VARCHAR AS vehicle_id, 'W' || (min(l_suppkey) % 8) AS origin_warehouse,
@@ -199,7 +200,8 @@ TABLES: dict[str, str] = {
           ON n = 1 OR o_orderpriority = '1-URGENT'""",
     "refund": """
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS refund_id,
-          l_orderkey || '-1' AS payment_id,
+          l_orderkey || CASE l_returnflag WHEN 'R' THEN '-1' WHEN 'A' THEN '-2' ELSE '-3' END
+            AS payment_id,
           CASE l_linenumber WHEN 1 THEN 'CUSTOMER_REQUEST' WHEN 2 THEN 'DEFECTIVE_PRODUCT'
             WHEN 3 THEN 'WRONG_ITEM' WHEN 4 THEN 'DUPLICATE_CHARGE' ELSE 'FRAUD' END AS reason,
           l_extendedprice::DECIMAL(12,2) AS amount_chf,
@@ -207,7 +209,7 @@ TABLES: dict[str, str] = {
             WHEN l_linenumber IN (3, 4) THEN 'PROCESSED' ELSE 'REJECTED' END AS status,
           l_shipdate::DATE AS created_at,
           CASE WHEN l_linenumber <> 1 THEN l_shipdate::DATE END AS processed_at
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     # Expected rows of the feeds --------------------------------------------
     "event_items": """
         SELECT *, regexp_extract(props, '([0-9]+)', 1)::INTEGER AS k

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlane.operators.joins import HOT_ROWS
 from martlane.plans import enterprise, feeds, logistics, payments, staging
 from martlane.session import tune, work_folder
 
@@ -239,16 +240,14 @@ class Standins:
         )
 
     def raw_product_tariff(self) -> DataFrame:
-        """Two tariffs for PROMO goods, none for STANDARD goods, else one."""
-        numbers = F.expr(
-            "CASE p_type WHEN 'PROMO' THEN array(1, 2) WHEN 'STANDARD' THEN array() ELSE array(1) END"
-        )
+        """Two tariffs for PROMO goods, one of an unknown product for STANDARD goods, else one."""
+        numbers = F.expr("IF(p_type = 'PROMO', array(1, 2), array(1))")
         return (
             self.source("part")
             .withColumn("n", F.explode(numbers))
             .selectExpr(
                 "concat(p_partkey, '-', n) AS tariff_id",
-                "p_partkey AS product_id",
+                "IF(p_type = 'STANDARD', concat('old-', p_partkey), CAST(p_partkey AS STRING)) AS product_id",
                 "lpad(p_size, 8, '0') AS hs_code",
                 "concat(p_type, ' ', p_brand) AS description",
                 "p_size % 9 + n AS duty_rate_pct",
@@ -366,13 +365,14 @@ class Standins:
         )
 
     def raw_refund(self) -> DataFrame:
-        """Returned lines are refunded on the order's first payment."""
+        """A refund per line: returned ones on the order's first payment, accepted ones on its
+        second, which few orders have, and open ones on a payment that no order has."""
         return (
             self.source("lineitem")
-            .filter("l_returnflag = 'R'")
             .selectExpr(
                 "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS refund_id",
-                "concat(l_orderkey, '-1') AS payment_id",
+                "concat(l_orderkey, CASE l_returnflag WHEN 'R' THEN '-1' WHEN 'A' THEN '-2' ELSE '-3' END)"
+                " AS payment_id",
                 f"{REFUND_REASON} AS reason",
                 "l_extendedprice AS amount_chf",
                 f"{REFUND_STATUS} AS status",
@@ -511,30 +511,41 @@ class Standins:
         """Staging tables with the key values of the marts, for finding hot keys."""
         return {mart: self.stg(table) for mart, table in tables.items()}
 
-    @cached_property
-    def fulfillment(self) -> DataFrame:
+    def fulfillment_with(self, hot_rows: int) -> DataFrame:
         return enterprise.fulfillment_lifecycle(
             self.orders,
             self.shipments,
             self.transactions,
             self.counted(shipments="shipment", transactions="payment"),
+            hot_rows,
         )
 
-    @cached_property
-    def customer_360(self) -> DataFrame:
+    def customer_360_with(self, hot_rows: int) -> DataFrame:
         return enterprise.customer_overview(
             self.customers,
             self.orders,
             self.merchants,
             self.counted(customers="business_customer", merchants="merchant_account"),
+            hot_rows,
         )
 
+    @cached_property
+    def fulfillment(self) -> DataFrame:
+        return self.fulfillment_with(HOT_ROWS)
+
+    @cached_property
+    def customer_360(self) -> DataFrame:
+        return self.customer_360_with(HOT_ROWS)
+
     @cached_property
     def routes(self) -> DataFrame:
         return enterprise.revenue_by_route(self.orders, self.shipments, self.transactions)
 
     @cached_property
     def report(self) -> DataFrame:
+        return self.report_with(HOT_ROWS)
+
+    def report_with(self, hot_rows: int) -> DataFrame:
         return enterprise.transaction_report(
             self.transactions,
             self.orders,
@@ -546,6 +557,7 @@ class Standins:
                 transactions="payment",
                 customers="business_customer",
             ),
+            hot_rows,
         )
 
     def saved(self, df: DataFrame) -> DataFrame:

@@ -91,6 +91,16 @@ def _in_pieces(
     return marked.select(*df.columns, *extra, F.explode(piece).alias("piece"))
 
 
+def _cut_where_found(hot: DataFrame, df: DataFrame, key: str, position: int) -> DataFrame:
+    """The hot keys without those to be cut in a table that does not have them."""
+    own = hot.filter(F.col("cut") == position).select(F.col("hot_key").alias(key))
+    # At most as many keys as the list has.
+    found = df.select(key).join(F.broadcast(own), key, "left_semi").distinct()
+    found = found.select(F.col(key).alias("hot_key"), F.lit(True).alias("found"))
+    marked = hot.join(F.broadcast(found), "hot_key", "left")
+    return marked.filter((F.col("cut") != position) | F.col("found")).drop("found")
+
+
 def star_join(
     base: DataFrame,
     key: str,
@@ -109,10 +119,10 @@ def star_join(
     use (key, piece), so each table is shuffled once.
 
     Copies of a base row that meet no row in a piece of a cut left-joined side
-    are dropped: the key is hot there, so other pieces hold its matches.
-    ``counted`` has the base's key column when keys may repeat there; it need
-    not be the base itself, since a wrong count of the base changes the
-    balance, never the result. Without it the base is taken as unique.
+    are dropped: other pieces hold its matches. A key is cut by a side only if
+    the side itself has it, so what ``counted`` frames say changes the balance
+    and never the result. ``counted`` has the base's key column when keys may
+    repeat there. Without it the base is taken as unique.
     """
     tables = {} if counted is None else {0: counted}
     for position, side in enumerate(sides, start=1):
@@ -121,6 +131,9 @@ def star_join(
     if not tables:
         raise ValueError("no key can repeat in any table: plain joins will do")
     hot = hot_keys(tables, key, hot_rows, share)
+    for position, side in enumerate(sides, start=1):
+        if side.keep_base and side.counted is not None:
+            hot = _cut_where_found(hot, side.df, key, position)
 
     result = _in_pieces(base, key, hot, 0, spread, F.col("cut"))
     markers = []

@@ -2,6 +2,7 @@
 
 ``counted`` arguments name cheaper frames with the same key values as a mart
 (the staging table it has one row per row of); they only help to find hot keys.
+``hot_rows`` is how many rows a key needs to be cut into pieces at all.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martlane.functions.dates import days_between
 from martlane.functions.money import zero_if_null
-from martlane.operators.joins import WEIGHT, Side, star_join
+from martlane.operators.joins import HOT_ROWS, WEIGHT, Side, star_join
 
 
 def _rows_per_order(df: DataFrame, name: str) -> DataFrame:
@@ -24,6 +25,7 @@ def fulfillment_lifecycle(
     shipments: DataFrame,
     transactions: DataFrame,
     counted: dict[str, DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Orders with shipments and payments; every combination is a row."""
     counted = counted or {}
@@ -62,6 +64,7 @@ def fulfillment_lifecycle(
             Side(payment_part, ["payment_id"], counted=counted.get("transactions")),
         ],
         spread=["order_id"],
+        hot_rows=hot_rows,
     )
     names = [c for part in parts for c in part.columns if c != "order_id"]
     return joined.select("order_id", *names)
@@ -72,6 +75,7 @@ def customer_overview(
     orders: DataFrame,
     merchants: DataFrame,
     counted: dict[str, DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Customers with order totals and the merchants they own, one row per merchant."""
     counted = counted or {}
@@ -101,6 +105,7 @@ def customer_overview(
         ],
         spread=["customer_id", "primary_contact_id"],
         counted=counted.get("customers", customers),
+        hot_rows=hot_rows,
     )
     return joined.select(
         *own,
@@ -175,6 +180,7 @@ def transaction_report(
     shipments: DataFrame,
     customers: DataFrame,
     counted: dict[str, DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Payments of known orders with shipment and customer facts."""
     counted = counted or {}
@@ -200,6 +206,7 @@ def transaction_report(
             Side(shipment_part, ["shipment_id"], counted=counted.get("shipments")),
         ],
         spread=["order_id"],
+        hot_rows=hot_rows,
     )
     # One customer may own a third of all rows. Such customers are found from the
     # payments times shipments of their orders, and their rows cut into pieces.
@@ -227,6 +234,7 @@ def transaction_report(
         ],
         spread=["payment_id", "shipment_id"],
         counted=weights,
+        hot_rows=hot_rows,
     )
     return report.select(
         "payment_id",

@@ -59,6 +59,18 @@ def test_star_join_equals_plain_joins(spark, rows, hot_rows, share, keep):
     assert rows(out, "k", "b", "l", "r") == rows(plain, "k", "b", "l", "r")
 
 
+@pytest.mark.parametrize("hot_rows", [1, 2])
+def test_counted_frames_never_change_the_result(spark, rows, hot_rows):
+    """They may name keys that the joined table lacks, or lack keys that it has."""
+    base = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, b string")
+    side = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, l string")
+    plain = rows(base.join(side, "k", "left"), "k", "b", "l")
+    for keys in ([0] * 9, [0, 0, 1, 2, 2], [3] * 4, [1] * 7, []):
+        counted = spark.createDataFrame([(k,) for k in keys], "k int")
+        out = star_join(base, "k", [Side(side, ["l"], counted=counted)], ["b"], hot_rows=hot_rows, share=4)
+        assert rows(out, "k", "b", "l") == plain
+
+
 @pytest.mark.parametrize("hot_rows", [1, 10**6])
 def test_star_join_cuts_a_hot_base(spark, rows, hot_rows):
     base, left, right = _skewed(spark)
