@@ -917,10 +917,12 @@ add(
 add(
     "quarantine_split",
     streams.quarantine,
-    """SELECT kind, count(*) AS n, sum(length(value))::BIGINT AS chars
-       FROM (SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'raw' END AS kind,
-               CASE WHEN event_type = 'error' THEN '{"k":' ELSE replace(props, ' ', '') END AS value
-             FROM events) GROUP BY kind""",
+    """SELECT kind, value, count(*) AS n
+       FROM (SELECT CASE WHEN event_type IN ('error', 'view', 'signup') THEN 'quarantine'
+                 ELSE 'raw' END AS kind,
+               CASE event_type WHEN 'error' THEN '{"k":' WHEN 'view' THEN props || props
+                 WHEN 'signup' THEN props || ' tail' ELSE replace(props, ' ', '') END AS value
+             FROM events) GROUP BY ALL""",
 )
 add(
     "stream_raw_append",
@@ -931,7 +933,34 @@ add(
 add(
     "stream_dedupe_by_key",
     streams.dedupe_by_key,
-    """SELECT user_id::VARCHAR AS raw_key, min(event_id) AS event_id FROM events GROUP BY user_id""",
+    "SELECT DISTINCT user_id::VARCHAR AS raw_key, event_type FROM events",
+)
+add(
+    "stream_dedupe_connections",
+    streams.connections_polled_twice,
+    f"SELECT {shown(CONNECTIONS)} FROM flat_connections",
+)
+add(
+    "stream_dedupe_stationboard",
+    streams.stationboard_polled_twice,
+    f"SELECT {shown(STATIONBOARD)} FROM flat_stationboard",
+)
+add(
+    "stream_dedupe_stations",
+    streams.stations_polled_twice,
+    f"SELECT {shown(STATIONS)} FROM flat_stations",
+)
+add(
+    "stream_dedupe_lines",
+    streams.lines_polled_twice,
+    """SELECT DISTINCT line
+       FROM (SELECT trim(unnest(string_split(text, chr(10))), chr(9) || chr(13) || ' ') AS line
+             FROM conversations) WHERE line <> ''""",
+)
+add(
+    "stream_multiline_payloads",
+    streams.multiline_payloads,
+    f"SELECT {shown(STATIONBOARD)} FROM flat_stationboard",
 )
 add(
     "stream_dedupe_watermark",

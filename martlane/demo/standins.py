@@ -381,21 +381,23 @@ class Standins:
             )
         )
 
-    # Feed payloads, one per event -----------------------------------------
+    # Feed payloads -----------------------------------------------------------
 
     def payloads(self, array: str, item: str) -> DataFrame:
-        """JSON text per event. Error events carry no, an empty or a scalar array."""
+        """JSON text of up to four events each. Error events give payloads with no, an empty or a
+        scalar array."""
         odd = [f'{{"{array}":[]}}', '{"other":1}', f'{{"{array}":5}}']
-        return (
-            self.source("events")
-            .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-            .selectExpr(
-                f"CASE WHEN event_type <> 'error' THEN to_json(named_struct('{array}', array({item})))"
-                f" WHEN user_id % 3 = 0 THEN '{odd[0]}'"
-                f" WHEN user_id % 3 = 1 THEN '{odd[1]}'"
-                f" ELSE '{odd[2]}' END AS value"
-            )
+        events = self.source("events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+        good = (
+            events.filter("event_type <> 'error'")
+            .groupBy(F.expr("event_id div 4"))
+            .agg(F.expr(f"collect_list({item})").alias("items"))
+            .selectExpr(f"to_json(named_struct('{array}', items)) AS value")
+        )
+        bad = events.filter("event_type = 'error'").selectExpr(
+            f"CASE user_id % 3 WHEN 0 THEN '{odd[0]}' WHEN 1 THEN '{odd[1]}' ELSE '{odd[2]}' END AS value"
         )
+        return good.unionByName(bad)
 
     def connection_payloads(self) -> DataFrame:
         return self.payloads(

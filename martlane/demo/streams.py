@@ -6,15 +6,21 @@ all of them are read, and the table it wrote is read back.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlane.demo.standins import Standins
 from martlane.operators.flatten import path
-from martlane.plans.staging import stg_sbb_stationboard
+from martlane.plans.staging import (
+    stg_meteoswiss_stations,
+    stg_sbb_stationboard,
+    stg_transport_connections,
+)
 from martlane.session import work_folder
 from martlane.sources.feeds import drop_header, read_payloads
-from martlane.sources.schemas import Feed
+from martlane.sources.schemas import FEEDS, Feed
 from martlane.streaming.ingest import (
     flatten_stream,
     ingest,
@@ -55,24 +61,68 @@ def _landed(d: Standins, payloads: DataFrame, purpose: str) -> str:
     return folder
 
 
-def _ingested(d: Standins, payloads: DataFrame, purpose: str, dedupe: bool = False) -> str:
-    folder = _landed(d, payloads, purpose)
-    query = ingest(
-        d.spark, EVENTS_FEED, f"{folder}/landing", f"{folder}/raw", f"{folder}/state", dedupe
-    )
+def _ingested(d: Standins, folder: str, feed: Feed = EVENTS_FEED, **options) -> str:
+    """The raw table of all that has landed in the folder."""
+    query = ingest(d.spark, feed, f"{folder}/landing", f"{folder}/raw", f"{folder}/state", **options)
     query.awaitTermination()
-    return folder
+    return f"{folder}/raw"
 
 
 def raw_append(d: Standins) -> DataFrame:
-    folder = _ingested(d, _event_payloads(d), "raw-append")
-    return _typed(read_raw(d.spark, f"{folder}/raw"))
+    return _typed(read_raw(d.spark, _ingested(d, _landed(d, _event_payloads(d), "raw-append"))))
 
 
 def dedupe_by_key(d: Standins) -> DataFrame:
-    folder = _ingested(d, _event_payloads(d), "dedupe", dedupe=True)
-    raw = read_raw(d.spark, f"{folder}/raw")
-    return raw.select("raw_key", path("RAW", "$.event_id", "bigint").alias("event_id"))
+    """Payloads of few kinds over several micro-batches; each kind is kept once, whatever its key."""
+    payloads = d.source("events").selectExpr(
+        "to_json(named_struct('user_id', user_id, 'event_type', event_type)) AS value"
+    )
+    folder = _landed(d, payloads.repartition(4), "dedupe")
+    raw = read_raw(d.spark, _ingested(d, folder, dedupe=True, max_files=1))
+    return raw.select("raw_key", path("RAW", "$.event_type", "string").alias("event_type"))
+
+
+def _polled_twice(d: Standins, name: str, payloads: DataFrame, flattener) -> DataFrame:
+    """A shipped feed whose payloads land twice, in files read one at a time, flattened."""
+    landing = payloads.unionAll(payloads).select("value").repartition(4)
+    feed = replace(FEEDS[name], wrap="json")
+    folder = _landed(d, landing, "polled")
+    return flattener(read_raw(d.spark, _ingested(d, folder, feed, dedupe=True, max_files=1)))
+
+
+def connections_polled_twice(d: Standins) -> DataFrame:
+    payloads = d.connection_payloads()
+    return _polled_twice(d, "transport_connections", payloads, stg_transport_connections)
+
+
+def stationboard_polled_twice(d: Standins) -> DataFrame:
+    return _polled_twice(d, "sbb_stationboard", d.stationboard_payloads(), stg_sbb_stationboard)
+
+
+def stations_polled_twice(d: Standins) -> DataFrame:
+    payloads = d.station_payloads().distinct()
+    return _polled_twice(d, "meteoswiss_measurements", payloads, stg_meteoswiss_stations)
+
+
+def lines_polled_twice(d: Standins) -> DataFrame:
+    """Lines of a feed without keys, landed twice in files read one at a time: each is kept once."""
+    lines = d.source("conversations").select(F.col("text").alias("value"))
+    folder = _landed(d, lines.unionAll(lines).repartition(3), "polled-lines")
+    raw = read_raw(d.spark, _ingested(d, folder, FEEDS["sbb_ist_daten"], dedupe=True, max_files=1))
+    return raw.select(path("RAW", "$", "string").alias("line"))
+
+
+def multiline_payloads(d: Standins) -> DataFrame:
+    """All good payloads of a minute's hand as one pretty-printed body per file."""
+    items = d.stationboard_payloads().filter("value LIKE '{\"results\":[{%'")
+    inner = F.regexp_extract("value", r"^\{\"results\":\[(.*)\]\}$", 1)
+    body = F.concat(
+        F.lit('{\n  "results": [\n    '), F.array_join(F.collect_list(inner), ",\n    "), F.lit("\n  ]\n}")
+    )
+    bodies = items.groupBy(F.pmod(F.xxhash64("value"), F.lit(8)).alias("file")).agg(body.alias("value"))
+    folder = work_folder(d.spark, "bodies")
+    bodies.repartition(1).write.partitionBy("file").text(f"{folder}/landing")
+    return stg_sbb_stationboard(read_raw(d.spark, _ingested(d, folder, FEEDS["sbb_stationboard"])))
 
 
 def dedupe_watermark(d: Standins) -> DataFrame:
@@ -95,8 +145,8 @@ def dedupe_watermark(d: Standins) -> DataFrame:
 
 
 def flattened(d: Standins) -> DataFrame:
-    folder = _ingested(d, d.stationboard_payloads(), "flatten")
-    raw = stream_raw(d.spark, f"{folder}/raw")
+    folder = _landed(d, d.stationboard_payloads(), "flatten")
+    raw = stream_raw(d.spark, _ingested(d, folder))
     query = flatten_stream(raw, stg_sbb_stationboard, f"{folder}/flat", f"{folder}/flat-state")
     query.awaitTermination()
     return d.spark.read.parquet(f"{folder}/flat")
@@ -121,20 +171,18 @@ def latest_per_user(d: Standins) -> DataFrame:
 
 
 def quarantine(d: Standins) -> DataFrame:
-    """Error events land as broken JSON and must all be found in the quarantine."""
-    payloads = d.source("events").selectExpr("IF(event_type = 'error', '{\"k\":', props) AS value")
-    folder = _ingested(d, payloads, "quarantine")
-    good = read_raw(d.spark, f"{folder}/raw").select(
-        F.lit("raw").alias("kind"), F.to_json("RAW").alias("value")
+    """Some events land as broken JSON, as two values in a row or with a tail; all of that must be
+    found in the quarantine, text for text."""
+    payloads = d.source("events").selectExpr(
+        "CASE event_type WHEN 'error' THEN '{\"k\":' WHEN 'view' THEN concat(props, props)"
+        " WHEN 'signup' THEN concat(props, ' tail') ELSE props END AS value"
     )
-    bad = read_quarantine(d.spark, f"{folder}/raw").select(
+    raw = _ingested(d, _landed(d, payloads, "quarantine"))
+    good = read_raw(d.spark, raw).select(F.lit("raw").alias("kind"), F.to_json("RAW").alias("value"))
+    bad = read_quarantine(d.spark, raw).select(
         F.lit("quarantine").alias("kind"), F.col("payload").alias("value")
     )
-    return (
-        good.unionByName(bad)
-        .groupBy("kind")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
-    )
+    return good.unionByName(bad).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def text_lines(d: Standins) -> DataFrame:

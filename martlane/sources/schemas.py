@@ -287,27 +287,28 @@ class Feed:
 
     table: str
     product: str
-    wrap: str  # json | text | lines
+    wrap: str  # json | body | text | lines
     period: str
-    key_path: str
+    key_path: str | None
 
 
-# --- Fixed values: the polled feeds. Key paths are relative to the payload.
+# --- Fixed values: the polled feeds. A key path leads from the payload to the offset of its
+# first element; text and line payloads have none.
 FEEDS: dict[str, Feed] = {
     "transport_connections": Feed(
-        "transport_connections", "locations", "json", "5 minutes", "$.from.departure.timestamp"
+        "transport_connections", "locations", "body", "5 minutes", "$.connections[0].from.departure"
     ),
-    "sbb_stationboard": Feed("sbb_stationboard", "shipments", "json", "1 minute", "$.stop_id"),
-    "sbb_ist_daten": Feed("sbb_ist_daten", "shipments", "lines", "1 day", "$.BETRIEBSTAG"),
+    "sbb_stationboard": Feed("sbb_stationboard", "shipments", "body", "1 minute", "$.results[0].bpuic"),
+    "sbb_ist_daten": Feed("sbb_ist_daten", "shipments", "lines", "1 day", None),
     "ecb_exchange_rates": Feed(
-        "ecb_exchange_rates", "transactions", "text", "1 day", "$.TIME_PERIOD"
+        "ecb_exchange_rates", "transactions", "text", "1 day", None
     ),
     "meteoswiss_measurements": Feed(
-        "meteoswiss_measurements", "weather", "json", "10 minutes", "$.id"
+        "meteoswiss_measurements", "weather", "body", "10 minutes", "$.features[0].id"
     ),
-    "astra_traffic_counts": Feed("astra_traffic_counts", "fleet", "json", "1 day", "$.id"),
-    "swiss_plz_directory": Feed("swiss_plz_directory", "locations", "json", "1 day", "$.id"),
-    "bazg_foreign_trade": Feed("bazg_foreign_trade", "shipments", "text", "1 day", "$.period"),
+    "astra_traffic_counts": Feed("astra_traffic_counts", "fleet", "body", "1 day", "$.id"),
+    "swiss_plz_directory": Feed("swiss_plz_directory", "locations", "body", "1 day", "$.id"),
+    "bazg_foreign_trade": Feed("bazg_foreign_trade", "shipments", "text", "1 day", None),
 }
 
 # --- Fixed values: JSON paths and types of the flattened feeds.

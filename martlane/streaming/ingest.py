@@ -3,13 +3,17 @@
 A raw table is a parquet folder with one sub-folder per micro-batch. A batch
 that is repeated after a failure replaces what it wrote in part, and leaves
 alone what it had finished, since a stream may have read those files already.
-So nothing is doubled, here or downstream.
+So nothing is doubled, here or downstream. That a batch is finished is a row of
+the table's own manifest, written last; that a payload has been there is told by
+its digest, in a narrow table beside the payloads. Both lie in folders that
+readers of the raw table pass over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +23,8 @@ from martlane.sources.schemas import FEEDS, Feed
 
 RAW_SCHEMA = "RAW variant, raw_key string, payload string, batch_id bigint, kind string"
 GOOD, BAD = "raw", "quarantine"
+# Folders beside the batches: finished batches, and digests of the payloads of each.
+MANIFEST, SEEN = "_manifest", "_seen"
 
 
 def run_trigger(feed: Feed, once: bool) -> dict:
@@ -26,55 +32,74 @@ def run_trigger(feed: Feed, once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": feed.period}
 
 
-def first_per_key(batch: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """One payload per key, and none whose key is in ``seen``; keyless rows stay.
+def _side_table(spark: SparkSession, out: str, name: str, schema: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).option("basePath", f"{out}/{name}").parquet(f"{out}/{name}")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
 
-    The per-batch choice is an aggregate, so copies of one payload are reduced
-    before the shuffle. ``seen`` is cut down to the batch's keys with a semi
-    join first: when those are few, Spark ships them to the scan and the large
-    table is never shuffled.
-    """
-    keyless = batch.filter(F.col("raw_key").isNull())
-    keyed = (
-        batch.filter(F.col("raw_key").isNotNull())
-        .groupBy("raw_key")
-        .agg(F.min("value").alias("value"))
-    )
-    if seen is not None:
-        known = seen.select("raw_key").join(keyed.select("raw_key"), "raw_key", "left_semi")
-        keyed = keyed.join(known, "raw_key", "left_anti")
-    return keyed.unionByName(keyless.select("raw_key", "value"))
+
+def is_complete(spark: SparkSession, out: str, batch_id: int) -> bool:
+    """Whether the manifest says that a batch is finished."""
+    manifest = _side_table(spark, out, MANIFEST, "done boolean, batch_id bigint")
+    return manifest is not None and not manifest.filter(F.col("batch_id") == batch_id).isEmpty()
 
 
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    """Whether a job has finished writing the folder."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def first_per_digest(batch: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """One payload per digest, and none whose digest is in ``seen``.
+
+    Equal digests are equal texts, so a changed payload of a known key stays. The
+    choice is an aggregate, so copies are reduced before the shuffle. ``seen`` is
+    cut down to the batch's digests first: when those are few, Spark ships them to
+    the scan and the larger table is never shuffled.
+    """
+    kept = batch.groupBy("digest").agg(F.min("value").alias("value"))
+    if seen is None:
+        return kept
+    known = seen.select("digest").join(kept.select("digest"), "digest", "left_semi")
+    return kept.join(known, "digest", "left_anti")
 
 
-def write_batch(batch: DataFrame, batch_id: int, feed: Feed, out: str, dedupe: bool) -> None:
-    """Wrap a batch of payload texts; good rows and quarantine go out in one job."""
+def write_batch(
+    batch: DataFrame,
+    batch_id: int,
+    feed: Feed,
+    out: str,
+    dedupe: bool,
+    look_back: int | None = None,
+) -> None:
+    """Wrap a batch of payload texts; good rows and quarantine go out in one job.
+
+    ``dedupe`` leaves out payloads that were there before, in this batch or, with
+    ``look_back``, in so many batches before it, else in all.
+    """
     spark = batch.sparkSession
-    folder = f"{out}/batch_id={batch_id}"
-    if is_complete(spark, folder):
+    if is_complete(spark, out, batch_id):
         return
-    rows = batch.select("value").withColumn("raw_key", F.lit(None).cast("string"))
+    rows = batch.select("value")
     if dedupe:
-        parsed = wrap_payloads(rows, feed.wrap)
-        key = F.try_variant_get("RAW", feed.key_path, "string")
-        rows = parsed.withColumn("raw_key", key).select("raw_key", "value")
-        seen = None
-        if batch_id > 0:
-            seen = read_raw(spark, out).filter(F.col("batch_id") < batch_id)
-        rows = first_per_key(rows, seen)
-    wrapped = wrap_payloads(rows, feed.wrap)
+        seen = _side_table(spark, out, SEEN, "digest string, batch_id bigint")
+        if seen is not None:
+            seen = seen.filter(F.col("batch_id") < batch_id)
+            if look_back is not None:
+                seen = seen.filter(F.col("batch_id") >= batch_id - look_back)
+        chosen = first_per_digest(rows.withColumn("digest", F.sha2("value", 256)), seen).persist()
+        chosen.select("digest").write.mode("overwrite").parquet(f"{out}/{SEEN}/batch_id={batch_id}")
+        rows = chosen.select("value")
     good = F.col("RAW").isNotNull()
-    wrapped.select(
+    key = F.lit(None) if feed.key_path is None else F.try_variant_get("RAW", feed.key_path, "string")
+    wrap_payloads(rows, feed.wrap).select(
         "RAW",
-        "raw_key",
+        key.cast("string").alias("raw_key"),
         F.when(~good, F.col("value")).alias("payload"),
         F.when(good, F.lit(GOOD)).otherwise(F.lit(BAD)).alias("kind"),
-    ).write.mode("overwrite").partitionBy("kind").parquet(folder)
+    ).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/batch_id={batch_id}")
+    if dedupe:
+        chosen.unpersist()
+    done = spark.range(1).select(F.lit(True).alias("done"))
+    done.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={batch_id}")
 
 
 def ingest(
@@ -86,6 +111,7 @@ def ingest(
     dedupe: bool = False,
     once: bool = True,
     max_files: int | None = None,
+    look_back: int | None = None,
 ) -> StreamingQuery:
     """Start the stream from the landing folder into the raw table ``out``."""
     feed = FEEDS[feed] if isinstance(feed, str) else feed
@@ -93,7 +119,7 @@ def ingest(
     payloads = read_payloads(spark, landing, feed.wrap, stream=True, **options)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, feed, out, dedupe)
+        write_batch(batch, batch_id, feed, out, dedupe, look_back)
 
     return (
         payloads.writeStream.foreachBatch(sink)

@@ -1,4 +1,5 @@
 import json
+import shutil
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from martlane.sources.feeds import drop_header, read_feed, read_payloads, split_
 from martlane.sources.schemas import FEEDS, Feed
 from martlane.streaming.catalogue import split_by_link
 from martlane.streaming.ingest import (
-    first_per_key,
+    first_per_digest,
     flatten_stream,
     ingest,
     read_quarantine,
@@ -53,28 +54,42 @@ def test_ingest_appends_and_quarantines(spark, folder, rows):
     assert rows(read_quarantine(spark, out)) == [('{"id":', 0)]
 
 
-def test_ingest_keeps_one_payload_per_key(spark, folder, rows):
-    land(folder, "a.json", '{"id":1,"v":"b"}', '{"id":1,"v":"a"}', '{"v":"no id"}', "broken{")
+def test_ingest_keeps_changed_payloads_and_drops_repeated_ones(spark, folder, rows):
+    land(folder, "a.json", '{"id":1,"v":"b"}', '{"id":1,"v":"b"}', '{"v":"no id"}', "broken{")
     run(spark, folder, dedupe=True)
-    land(folder, "b.json", '{"id":1,"v":"0"}', '{"id":2,"v":"c"}', '{"v":"no id"}')
+    land(folder, "b.json", '{"id":1,"v":"b"}', '{"id":1,"v":"a"}', '{"id":2,"v":"c"}', '{"v":"no id"}')
     out = run(spark, folder, dedupe=True)
     kept = read_raw(spark, out).select("raw_key", path("RAW", "$.v", "string").alias("v"))
-    assert rows(kept) == [(None, "no id"), (None, "no id"), ("1", "a"), ("2", "c")]
+    assert rows(kept) == [(None, "no id"), ("1", "a"), ("1", "b"), ("2", "c")]
     assert rows(read_quarantine(spark, out), "payload") == [("broken{",)]
 
 
-def test_a_repeated_batch_doubles_nothing(spark, folder):
+def test_looking_back_a_few_batches_only(spark, folder):
+    out = str(folder / "raw")
+    batch = spark.createDataFrame([('{"id":1}',)], "value string")
+    for n in range(4):
+        write_batch(batch if n in (0, 3) else batch.limit(0), n, FEED, out, True, look_back=2)
+    assert read_raw(spark, out).count() == 2
+
+
+@pytest.mark.parametrize("markers", ["true", "false"])
+def test_a_repeated_batch_doubles_nothing(spark, folder, markers):
     out = str(folder / "raw")
     batch = spark.createDataFrame([('{"id":1}',), ('{"id":2}',)], "value string")
-    write_batch(batch, 0, FEED, out, dedupe=True)
-    finished = {f.name for f in (folder / "raw").rglob("*.parquet")}
-    write_batch(batch, 0, FEED, out, dedupe=True)
-    assert {f.name for f in (folder / "raw").rglob("*.parquet")} == finished
-    (folder / "raw" / "batch_id=0" / "_SUCCESS").unlink()
-    for _ in range(2):
+    marking = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark._jsc.hadoopConfiguration().set(marking, markers)
+    try:
+        write_batch(batch, 0, FEED, out, dedupe=True)
+        finished = {f.name for f in (folder / "raw").rglob("*.parquet")}
         write_batch(batch, 0, FEED, out, dedupe=True)
-    for _ in range(2):
-        write_batch(batch.union(spark.createDataFrame([('{"id":3}',)])), 1, FEED, out, dedupe=True)
+        assert {f.name for f in (folder / "raw").rglob("*.parquet")} == finished
+        shutil.rmtree(folder / "raw" / "_manifest")
+        for _ in range(2):
+            write_batch(batch, 0, FEED, out, dedupe=True)
+        for _ in range(2):
+            write_batch(batch.union(spark.createDataFrame([('{"id":3}',)])), 1, FEED, out, dedupe=True)
+    finally:
+        spark._jsc.hadoopConfiguration().set(marking, "true")
     assert sorted(r.raw_key for r in read_raw(spark, out).collect()) == ["1", "2", "3"]
 
 
@@ -88,10 +103,40 @@ def test_many_small_batches_give_the_same_table(spark, folder, rows):
 
 
 def test_copies_are_reduced_before_the_shuffle(spark):
-    batch = spark.range(1000).selectExpr("'k' AS raw_key", "CAST(id AS STRING) AS value")
-    plan = first_per_key(batch)._jdf.queryExecution().executedPlan().toString()
+    batch = spark.range(1000).selectExpr("'k' AS digest", "'v' AS value")
+    plan = first_per_digest(batch)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
-    assert first_per_key(batch).collect() == [("k", "0")]
+    assert first_per_digest(batch).collect() == [("k", "v")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"a":1}{"b":2}', '{"a":1} trash', ' "connections": [', '{"a":1}],[2', '{"a":1}}', "1,2",
+        '1,"x":2', '1,"z":1', '1,"v":2', "", "{", '{"a":1},"z":1} ',
+    ],
+)
+def test_what_follows_the_first_value_is_not_lost(spark, text):
+    good, bad = split_quarantine(wrap_payloads(spark.createDataFrame([(text,)], "value string"), "json"))
+    assert good.count() == 0
+    assert bad.collect() == [(text,)]
+
+
+@pytest.mark.parametrize("text", ['{"a":[1,{"z":2}]}', " [1,2] ", "5", '"s"', "true", '{"v":1,"z":0}'])
+def test_whole_values_are_kept(spark, text):
+    good, bad = split_quarantine(wrap_payloads(spark.createDataFrame([(text,)], "value string"), "json"))
+    assert json.loads(good.select(F.to_json("RAW")).first()[0]) == json.loads(text)
+    assert bad.count() == 0
+
+
+def test_a_body_over_several_lines_is_one_payload(spark, folder):
+    body = json.dumps({"features": [{"id": "a"}, {"id": "b"}]}, indent=2)
+    (folder / "landing" / "x.json").write_text(body, encoding="utf-8")
+    (folder / "landing" / "y.json").write_text(body[:-3], encoding="utf-8")
+    out = run(spark, folder, "meteoswiss_measurements", dedupe=True)
+    raw = read_raw(spark, out).select("raw_key", F.to_json("RAW").alias("j")).collect()
+    assert [(r.raw_key, json.loads(r.j)) for r in raw] == [("a", json.loads(body))]
+    assert [r.payload for r in read_quarantine(spark, out).collect()] == [body[:-3]]
 
 
 def test_text_and_line_wraps(spark, folder, rows):
@@ -132,7 +177,8 @@ def _item(station, hour):
 
 def test_stream_flatten_equals_batch(spark, folder, rows):
     for n in range(3):
-        land(folder, f"{n}.json", f'{{"features":[{_item("a", n)},{_item("b", n)}]}}', '{"features":[]}')
+        land(folder, f"{n}.json", f'{{"features":[{_item("a", n)},', f'{_item("b", n)}]}}')
+        land(folder, f"{n}-none.json", '{"features":[]}')
         out = run(spark, folder, feed=FEEDS["meteoswiss_measurements"])
         query = flatten_stream(
             stream_raw(spark, out), stg_meteoswiss_stations, str(folder / "flat"), str(folder / "fs")
