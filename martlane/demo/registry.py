@@ -895,6 +895,42 @@ add(
     ),
 )
 
+# All declared checks of the staging tables; the SQL counts every one of them.
+STAGED = [name for name in CHECKS if name.removeprefix("stg_") in SEEDS]
+
+
+def _dq_staging(d: Standins) -> DataFrame:
+    frames = {name: d.stg(name.removeprefix("stg_")) for name in STAGED}
+    return reduce(
+        DataFrame.unionByName,
+        [checks.run_checks(frames[name], name, CHECKS[name], frames.__getitem__) for name in STAGED],
+    )
+
+
+def _declared_sql(name: str) -> list[str]:
+    table, spec = name.removeprefix("stg_"), CHECKS[name]
+    found = [_nulls(table, c) for c in (*spec.key, *spec.required)]
+    for column, values in spec.accepted.items():
+        listed = ", ".join(f"'{v}'" for v in values)
+        other = f"SELECT count(*) FROM {table} WHERE {column}::VARCHAR NOT IN ({listed})"
+        found.append(_check_sql(table, "accepted_values", column, other))
+    found += [_repeats(table, c) for c in spec.key]
+    for column, (parent, parent_column) in spec.refs.items():
+        parent = parent.removeprefix("stg_")
+        lost = (
+            f"SELECT count(*) FROM {table} c ANTI JOIN {parent} p ON c.{column} = p.{parent_column}"
+            f" WHERE c.{column} IS NOT NULL"
+        )
+        found.append(_check_sql(table, "relationships", column, lost))
+    return found
+
+
+add(
+    "dq_report_staging",
+    _dq_staging,
+    "\nUNION ALL ".join(query for name in STAGED for query in _declared_sql(name)),
+)
+
 # Ingest and streams -------------------------------------------------------
 
 add(
