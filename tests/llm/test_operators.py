@@ -113,8 +113,12 @@ def near(sets, percent):
             yield a, b
 
 
-@pytest.mark.parametrize(("size", "percent", "frequent"), [(3, 90, 1 << 18), (5, 80, 20)])
-def test_jaccard(docs, rows, size, percent, frequent, monkeypatch):
+@pytest.mark.parametrize(
+    ("size", "percent", "frequent", "long", "block"), [(3, 90, 1 << 18, 48, 512), (5, 80, 20, 2, 3)]
+)
+def test_jaccard(docs, rows, size, percent, frequent, long, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "LONG", long)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "SEEN", 2)
     monkeypatch.setattr(jaccard, "PORTION", 2)
