@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from martlane.session import work_folder
 
 
-# Rows sent to a Python worker at once: texts may be long, and workers share an executor's memory.
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_ROWS = 1000
+# What a Python worker gets at once: texts may be long, and workers share an executor's memory.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def small_batches(spark: SparkSession) -> None:
     """Sets the size of batches, unless the session came with one."""
-    if BATCH not in dict(spark.sparkContext.getConf().getAll()):
-        spark.conf.set(BATCH, BATCH_ROWS)
+    given = dict(spark.sparkContext.getConf().getAll())
+    for name, value in BATCHES.items():
+        if name not in given:
+            spark.conf.set(name, value)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
