@@ -43,3 +43,26 @@ def flatten(
     columns = [path("item", p, t, strict).alias(name) for name, (p, t) in fields.items()]
     columns += [column.alias(name) for name, column in (extra or {}).items()]
     return items.select(*columns)
+
+
+def misfits(
+    df: DataFrame, array_path: str, fields: Mapping[str, tuple[str, str]], raw: str = "RAW"
+) -> DataFrame:
+    """The array elements that a lenient ``flatten`` loses a value of: ``payload``, ``fields``.
+
+    These are elements with a value at some path that is there, is not JSON null and
+    does not fit the path's type; ``payload`` is the element's text and ``fields``
+    names the outputs concerned. Works on batch and streaming frames.
+    """
+    items = df.select(F.explode(F.try_variant_get(raw, array_path, "array<variant>")).alias("item"))
+
+    def unfit(json_path: str, type_name: str) -> Column:
+        value = F.try_variant_get("item", json_path, "variant")
+        there = value.isNotNull() & ~F.is_variant_null(value)
+        return there & F.try_variant_get("item", json_path, type_name).isNull()
+
+    names = F.array_compact(
+        F.array(*[F.when(unfit(p, t), F.lit(name)) for name, (p, t) in fields.items()])
+    )
+    found = items.select(F.to_json("item").alias("payload"), names.alias("fields"))
+    return found.filter(F.size("fields") > 0)

@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def typed_null(type_name: str, name: str):
-    return F.lit(None).cast(type_name).alias(name)
-
-
 def align_union(first: DataFrame, *others: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All rows of all frames with ``columns`` in this order; nothing is removed.
 

@@ -3,6 +3,8 @@
 Every report aggregates the whole mart. Sorting puts NULL first on descending
 columns, as the source system does, and ends with an id so that the rows of a
 top-k list do not depend on the run.
+
+Fixed values: the reports' output columns, thresholds and row limits.
 """
 
 from __future__ import annotations

@@ -11,13 +11,14 @@ readers of the raw table pass over.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from martlane.operators.flatten import misfits
 from martlane.sources.feeds import read_payloads, wrap_payloads
 from martlane.sources.schemas import FEEDS, Feed
 
@@ -171,3 +172,22 @@ def flatten_stream(
         .trigger(**trigger)
         .start()
     )
+
+
+def misfit_stream(
+    raw: DataFrame,
+    array_path: str,
+    fields: Mapping[str, tuple[str, str]],
+    out: str,
+    checkpoint: str,
+    once: bool = True,
+    period: str = "1 minute",
+) -> StreamingQuery:
+    """Append the elements that do not fit their types to the quarantine table ``out``.
+
+    Run beside a ``flatten_stream`` whose flattener is lenient: then one bad value
+    neither stops the stream nor gets lost.
+    """
+    return flatten_stream(
+        raw, lambda df: misfits(df, array_path, fields), out, checkpoint, once, period
+    )

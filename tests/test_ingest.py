@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from martlane.operators.flatten import path
+from martlane.operators.flatten import flatten, path
 from martlane.plans.staging import stg_meteoswiss_stations
 from martlane.session import work_folder
 from martlane.sources.feeds import drop_header, read_feed, read_payloads, split_quarantine, wrap_payloads
@@ -15,6 +15,7 @@ from martlane.streaming.ingest import (
     first_per_digest,
     flatten_stream,
     ingest,
+    misfit_stream,
     read_quarantine,
     read_raw,
     run_trigger,
@@ -189,6 +190,22 @@ def test_stream_flatten_equals_batch(spark, folder, rows):
     assert batch.count() == 6
 
 
+def test_values_that_do_not_fit_go_to_the_quarantine(spark, folder, rows):
+    fields = {"n": ("$.n", "int"), "t": ("$.t", "timestamp_ntz"), "s": ("$.s", "string")}
+    items = [{"n": 1, "t": "2026-01-05T00:00:00", "s": "a"}, {"n": "x", "t": "never"}, {"n": None}, {}]
+    land(folder, "a.json", json.dumps({"items": items}), '{"items":5}', '{"other":1}')
+    raw = stream_raw(spark, run(spark, folder))
+    lenient = lambda df: flatten(df, "$.items", fields, strict=False)
+    for stream in (
+        flatten_stream(raw, lenient, str(folder / "flat"), str(folder / "fs")),
+        misfit_stream(raw, "$.items", fields, str(folder / "bad"), str(folder / "bs")),
+    ):
+        stream.awaitTermination()
+    assert spark.read.parquet(str(folder / "flat")).count() == 4
+    (bad,) = spark.read.parquet(str(folder / "bad")).collect()
+    assert (json.loads(bad.payload), bad.fields) == (items[1], ["n", "t"])
+
+
 def test_latest_over_batches(spark, folder, rows):
     land(folder, "0.json", _item("a", 3), _item("a", 5), _item("b", 1))
     land(folder, "1.json", _item("a", 4), _item("b", 2), _item("c", 0))
