@@ -21,13 +21,15 @@ def _least(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     near = both.join(_least(both), "u").filter("v > u")
-    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    # Links that are there twice go with the next small star.
+    return near.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _least(down)
-    near = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    near = down.join(least, "u").filter("v <> m")
+    near = near.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return near.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
