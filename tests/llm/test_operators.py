@@ -325,6 +325,49 @@ def test_language_models(spark, docs, rows, nulls, nothing):
     assert max(abs(r.score) for r in lm.score(docs, targets.limit(0)).collect()) < 1e-12
 
 
+def test_language_models_keep_every_count(spark, monkeypatch):
+    """More words and pairs than any list of fixed size, in many chunks and ranges."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 200_000)
+    monkeypatch.setattr(lm, "RANGE_WORDS", 5_000)
+    size, left, right = 70_000, "common", "usual"
+    texts = {k: " ".join(f"v{j}" for j in range(k * 700, k * 700 + 700)) for k in range(size // 700)}
+    texts |= {1000 + k: t for k, t in texts.items()}
+    texts |= {2000 + k: f"{left} {right} " * 300 for k in range(3)} | {3000: "once v1 v2"}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    targets = spark.createDataFrame([(k,) for k in range(10)], "doc_id long")
+    got = {r.doc_id: r for r in lm.score(table, targets).collect()}
+    assert len(got) == len(texts)
+    n, n_pairs, single, target_n = {}, {}, {}, {}
+    target_pairs = {}
+    for i, text in texts.items():
+        own = text.split()
+        for w in own:
+            n[w] = n.get(w, 0) + 1
+            target_n[w] = target_n.get(w, 0) + (i < 10)
+        for p in zip(own, own[1:], strict=False):
+            n_pairs[p] = n_pairs.get(p, 0) + 1
+            target_pairs[p] = target_pairs.get(p, 0) + (i < 10)
+    n = {w: c for w, c in n.items() if c > 1}
+    whole, whole_target = sum(n.values()), sum(target_n[w] for w in n)
+    assert len(n) == size + 2
+    for w in [*n, None]:
+        share = (n.get(w, 0) + 1) / (whole + len(n) + 1)
+        known = (target_n.get(w, 0) + 1000 * share) / (whole_target + 1000)
+        single[w] = (share, known if w else share)
+    for i in (0, 5, 99, 1005, 2000, 3000):
+        losses, before = np.zeros(2), None
+        for w in texts[i].split():
+            share = target = 0
+            if before in n and w in n and n_pairs[before, w] > 1:
+                share = min(n_pairs[before, w] / n[before], 1)
+                target = min((target_pairs[before, w] + 10 * share) / (target_n[before] + 10), 1)
+            losses -= np.log([0.5 * s + 0.5 * x for s, x in zip((share, target), single.get(w, single[None]), strict=True)])
+            before = w
+        losses /= len(texts[i].split())
+        assert (got[i].background_loss, got[i].target_loss) == pytest.approx(tuple(losses))
+        assert got[i].is_target == (i < 10)
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, rank int, cell string"
 
 
