@@ -2,7 +2,8 @@
 
 A text becomes its lower-case words with one space between them. A keyword
 prefilter decides which rules are worth trying: a rule is tried only where its
-license's keyword occurs beside a word that speaks of licenses. Each rule is a
+license's keyword occurs beside a word that speaks of licenses, and no rule can match
+without one of its keywords and one of these words. Each rule is a
 regular expression with a label, a priority and a weight; the rules are the
 license names in each of the forms in which texts refer to them. What they find
 are intervals of words. They are taken by priority, then length, then place; one
@@ -39,17 +40,18 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-# Label, keyword that must occur, and pattern of the name in lower-case words.
+# Label, keywords, and pattern of the name in lower-case words. Each alternative of
+# the pattern has one of the keywords (between bars) in it, from the beginning of a word.
 NAMES = [
-    ("mit", "mit", r"(?:mit|expat)(?: x11)?"),
-    ("mit-0", "mit 0", r"mit 0|mit no attribution"),
+    ("mit", "mit|expat", r"(?:mit|expat)(?: x11)?"),
+    ("mit-0", "mit 0|mit no attribution", r"mit 0|mit no attribution"),
     ("apache-1.1", "apache", r"apache(?: software)?(?: licen[sc]e)?(?: version)? 1 1"),
     ("apache-2", "apache", r"apache(?: software)?(?: licen[sc]e)?(?: version| v)? 2(?: 0)?"),
     ("apache", "apache", r"apache(?: software)?"),
-    ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|simplified bsd|freebsd)"),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:bsd 2 clause|simplified bsd|freebsd)"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|new bsd|modified bsd|revised bsd)"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|original bsd)"),
-    ("0bsd", "bsd", r"(?:0bsd|zero clause bsd|bsd zero clause)"),
+    ("0bsd", "bsd|0bsd", r"(?:0bsd|zero clause bsd|bsd zero clause)"),
     ("bsd", "bsd", r"bsd"),
     ("gpl-2", "gpl", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?"),
     ("gpl-3", "gpl", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?"),
@@ -100,7 +102,11 @@ NAMES = [
         "noncommercial",
         r"creative commons attribution noncommercial share ?alike(?: \d 0)?",
     ),
-    ("cc-by-nc", "noncommercial", r"creative commons attribution non ?commercial(?: \d 0)?"),
+    (
+        "cc-by-nc",
+        "noncommercial|non commercial",
+        r"creative commons attribution non ?commercial(?: \d 0)?",
+    ),
     ("cc-by-sa", "creative", r"creative commons attribution share ?alike(?: \d 0)?"),
     ("cc-by", "creative", r"creative commons attribution(?: \d 0)?"),
     ("cc", "creative", r"creative commons"),
@@ -125,7 +131,11 @@ FORMS = [
 ]
 # Names that say enough alone.
 ALONE = re.compile(r"^(?:cc|cc0|wtfpl|unlicense|0bsd)")
-SPEAKS = (b"licen", b"under", b"subject to", b"governed", b"covered", b"cc", b"wtfpl", b"0bsd")
+# Every form, and every name that says enough alone, has one of these in it.
+SPEAKS = (
+    *(b"licen", b"under", b"subject to", b"governed", b"covered", b"cc", b"wtfpl", b"0bsd"),
+    *(b"by nc", b"creative commons", b"zero clause"),
+)
 
 _LOWER_WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -133,14 +143,15 @@ _LOWER_WORDS = bytes(
 )
 
 
-def rules() -> list[tuple[bytes, re.Pattern, str, int, float]]:
-    """Keyword, expression, label, priority, weight: every name in every form."""
+def rules() -> list[tuple[tuple[bytes, ...], re.Pattern, str, int, float]]:
+    """Keywords, expression, label, priority, weight: every name in every form."""
     made = []
-    for label, keyword, name in NAMES:
+    for label, keywords, name in NAMES:
+        begun = tuple(f" {keyword}".encode() for keyword in keywords.split("|"))
         forms = FORMS + [(r"{name}", 5, 0.5)] * bool(ALONE.match(label))
         for form, priority, weight in forms:
             whole = rf"(?<= )(?:{form.replace('{name}', f'(?:{name})')})(?= )"
-            made.append((keyword.encode(), re.compile(whole.encode()), label, priority, weight))
+            made.append((begun, re.compile(whole.encode()), label, priority, weight))
     return made
 
 
@@ -165,10 +176,10 @@ def detections(line: bytes, all_rules: list) -> list[tuple[int, int, str, float]
         return []
     present = {}
     found = []
-    for keyword, pattern, label, priority, weight in all_rules:
-        if keyword not in present:
-            present[keyword] = b" " + keyword in line
-        if not present[keyword]:
+    for keywords, pattern, label, priority, weight in all_rules:
+        if keywords not in present:
+            present[keywords] = any(keyword in line for keyword in keywords)
+        if not present[keywords]:
             continue
         for match in pattern.finditer(line):
             first = line.count(b" ", 0, match.start()) - 1

@@ -1,6 +1,7 @@
 """The parts that need no Spark: coding, suffix arrays, packing plans, flights, rules, words."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -181,6 +182,62 @@ def test_rules_resolve_overlaps():
     assert label(b"the limit of the committee") == ""
 
 
+def texts_of(tree):
+    """A text for every way through a parsed expression (one digit stands for all)."""
+    found = [""]
+    for kind, value in tree:
+        kind = str(kind)
+        if kind == "LITERAL":
+            own = [chr(value)]
+        elif kind == "IN":
+            own = [chr(v) if str(k) == "LITERAL" else "4" for k, v in value]
+        elif kind == "BRANCH":
+            own = [x for branch in value[1] for x in texts_of(branch)]
+        elif kind == "MAX_REPEAT":
+            assert value[:2] == (0, 1)
+            own = ["", *texts_of(value[2])]
+        elif kind == "SUBPATTERN":
+            own = texts_of(value[-1])
+        else:
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
+            own = [""]
+        found = [a + b for a in found for b in own]
+    return found
+
+
+def test_prefilter_passes_all_that_rules_match(monkeypatch):
+    rules = licenses.rules()
+    for keywords, pattern, *_ in rules:
+        for text in texts_of(re._parser.parse(pattern.pattern.decode())):
+            line = f" {text} ".encode()
+            assert pattern.search(line)
+            assert any(k in line for k in keywords), (keywords, line)
+            assert any(word in line for word in licenses.SPEAKS), line
+    texts = [
+        f"x {form} y".replace("{name}", name).encode()
+        for _, _, names in licenses.NAMES
+        for name in texts_of(re._parser.parse(names))
+        for form in ("{name} license", "released under the {name}", "{name}")
+    ]
+    got = [licenses.scan_text(text, rules) for text in texts]
+    monkeypatch.setattr(licenses, "SPEAKS", (b" ",))
+    whole = [((b" ",), *rule[1:]) for rule in rules]
+    assert got == [licenses.scan_text(text, whole) for text in texts]
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("0BSD License", "0bsd"), ("licensed under FreeBSD", "bsd-2-clause"),
+        ("the Expat license", "mit"), ("MIT No Attribution License", "mit-0"),
+        ("BSD Zero Clause", "0bsd"), ("by-nc-nd 4.0", "cc-by-nc-nd"), ("Creative Commons", "cc"),
+        ("Creative Commons Attribution-Non-Commercial 4.0", "cc-by-nc"),
+    ],
+)
+def test_names_in_other_words(text, label):
+    assert licenses.scan_text(text.encode(), licenses.rules())[5] == label
+
+
 def test_least_count_keeps_the_wanted_recall():
     assert near_vectors.least_count(40, 9.0, 0.995) == 40
     assert near_vectors.least_count(40, 1.6, 0.995) < 36
