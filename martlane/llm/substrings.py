@@ -273,14 +273,14 @@ def _marked(flagged: DataFrame) -> DataFrame:
     )
 
 
-def _sorted_block(block: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """Windows of the block's strings (doc_id, place, bytes) that an earlier document has too:
-    doc_id, start and stop of each stretch."""
+def _sorted_block(block: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+    """Windows of the block's strings (doc_id, print, place, bytes) that an earlier document has
+    too: doc_id, print, start and stop of each stretch."""
     text = np.concatenate(
-        [x for _, _, s in block for x in (np.frombuffer(s, np.uint8).astype(np.int16) + 1, [0])]
+        [x for *_, s in block for x in (np.frombuffer(s, np.uint8).astype(np.int16) + 1, [0])]
     )
-    windows = np.array([len(s) - LENGTH + 1 for _, _, s in block])
-    sizes = np.array([len(s) + 1 for _, _, s in block])
+    windows = np.array([len(s) - LENGTH + 1 for *_, s in block])
+    sizes = np.array([len(s) + 1 for *_, s in block])
     begins = np.cumsum(sizes) - sizes
     of = np.repeat(np.arange(len(block)), sizes)
     within = np.arange(len(text)) - begins[of]
@@ -288,7 +288,7 @@ def _sorted_block(block: list[tuple[int, int, bytes]]) -> list[tuple[int, int, i
     order = order[within[order] < windows[of[order]]]
     rows = text[order[:, None] + np.arange(LENGTH)]
     new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])
-    docs = np.array([d for d, _, _ in block])[of[order]]
+    docs = np.array([d for d, *_ in block])[of[order]]
     earliest = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
     hits = np.sort(order[docs > earliest])
     if not len(hits):
@@ -298,14 +298,15 @@ def _sorted_block(block: list[tuple[int, int, bytes]]) -> list[tuple[int, int, i
     stops = hits[np.append(np.flatnonzero(cut)[1:], len(hits)) - 1] + LENGTH
     found = []
     for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
-        doc, place, _ = block[of[a]]
-        found.append((doc, place + within[a], place + within[a] + b - a))
+        doc, number, place, _ = block[of[a]]
+        found.append((doc, number, place + within[a], place + within[a] + b - a))
     return found
 
 
-def repeats(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]]:
-    """doc_id, start and stop of what the contexts (doc_id, place, bytes) repeat of one another."""
-    run = [s for _, _, s in contexts]
+def repeats(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+    """doc_id, print, start and stop of what the contexts (doc_id, print, place, bytes) repeat of
+    one another."""
+    run = [s for *_, s in contexts]
     data = np.frombuffer(b"".join(run), np.uint8)
     sizes = np.array([len(s) for s in run])
     begins = np.cumsum(sizes) - sizes
@@ -316,7 +317,7 @@ def repeats(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]
     sums = prefix_sums(data)
     _, down = powers(len(data))
     hashes = mixed((sums[at + LENGTH] - sums[at]) * down[at])
-    docs = np.array([d for d, _, _ in contexts])[of]
+    docs = np.array([d for d, *_ in contexts])[of]
     order = np.lexsort((docs, hashes))
     new = np.ones(len(order), bool)
     new[1:] = hashes[order[1:]] != hashes[order[:-1]]
@@ -329,15 +330,15 @@ def repeats(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]
     by_context = np.argsort(queries, kind="stable")
     queries, sources = queries[by_context], sources[by_context]
     cut = np.flatnonzero(np.concatenate([[True], of[queries[1:]] != of[queries[:-1]]]))
-    found: list[tuple[int, int, int]] = []
+    found: list[tuple[int, int, int, int]] = []
     block: dict[int, list[int]] = {}
     size = 0
 
     def flush() -> None:
         pieces = []
         for c, (a, b) in block.items():
-            doc, place, s = contexts[c]
-            pieces.append((doc, place + a, s[a : b + LENGTH]))
+            doc, number, place, s = contexts[c]
+            pieces.append((doc, number, place + a, s[a : b + LENGTH]))
         found.extend(_sorted_block(pieces))
 
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(queries)], strict=True):
@@ -358,30 +359,33 @@ def repeats(contexts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int]
     return found
 
 
+STRETCH = ["doc_id", "print", "start", "stop"]
+
+
 def _met(contexts: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, held, size = None, [], 0
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         for batch in batches:
-            for anchor, doc, start, data in batch.itertuples(index=False, name=None):
+            for anchor, doc, number, start, data in batch.itertuples(index=False, name=None):
                 if anchor != now:
                     now = anchor
                     if size >= GATHER:
                         out += repeats(held)
                         held, size = [], 0
-                held.append((doc, start, data))
+                held.append((doc, number, start, data))
                 size += len(data)
-            yield pd.DataFrame(out, columns=["doc_id", "start", "stop"], dtype="int64")
+            yield pd.DataFrame(out, columns=STRETCH, dtype="int64")
             out = []
         if held:
             out = repeats(held)
-        yield pd.DataFrame(out, columns=["doc_id", "start", "stop"], dtype="int64")
+        yield pd.DataFrame(out, columns=STRETCH, dtype="int64")
 
     n = parts(contexts.sparkSession)
     return (
         contexts.repartition(n, "anchor")
         .sortWithinPartitions("anchor", "doc_id")
-        .mapInPandas(rows, "doc_id long, start long, stop long")
+        .mapInPandas(rows, ", ".join(f"{c} long" for c in STRETCH))
     )
 
 
@@ -397,11 +401,13 @@ def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     flagged = texts.join(side(ids), "doc_id", "left_semi").join(flags, "doc_id")
     marked = written(_marked(flagged), "substring-marked")
     contexts = marked.select(
-        "doc_id", F.explode(F.arrays_zip("anchors", "starts", "contexts")).alias("x")
-    ).select(F.col("x.anchors").alias("anchor"), "doc_id", "x.starts", "x.contexts")
+        "doc_id", "print", F.explode(F.arrays_zip("anchors", "starts", "contexts")).alias("x")
+    ).select(F.col("x.anchors").alias("anchor"), "doc_id", "print", "x.starts", "x.contexts")
     stretches = F.collect_list(F.array("start", "stop")).alias("more")
-    more = _met(contexts).groupBy("doc_id").agg(stretches)
-    touched = marked.select("doc_id", "bytes", "print", "spans").join(more, "doc_id", "left")
+    # Stretches are places of one text: rows of one doc_id may have several.
+    own = ["doc_id", "print"]
+    more = _met(contexts).groupBy(own).agg(stretches)
+    touched = marked.select("doc_id", "bytes", "print", "spans").join(more, own, "left")
     return ids, texts.join(side(ids), "doc_id", "left_anti"), touched
 
 

@@ -155,6 +155,36 @@ def test_substrings_leave_texts(docs, rows, nulls, nothing):
     assert substrings.digests(nothing).count() == 0
 
 
+def ends_of_a_passage(draw, n):
+    """Texts that share a passage's beginning, middle or end, after and before their own words."""
+    passage = sentences(draw, 60, 5000)
+    own = lambda: sentences(draw, draw.randint(1, 9), 5000)
+    texts = []
+    for _ in range(n):
+        a = draw.randint(0, 3) * 40
+        texts.append(f"{own()} {passage[a : a + 70 + draw.randint(0, 2) * 31]} {own()}")
+    return texts
+
+
+def test_substrings_of_texts_with_one_id(spark):
+    """Two long texts under one doc_id repeat an earlier one at different places."""
+    draw = random.Random(2)
+    texts = ends_of_a_passage(draw, 3)
+    first, one, two = texts[0], "x" * 7 + " " + texts[1], sentences(draw, 30, 5000) + " " + texts[2]
+    rows = [(1, first), (2, one), (2, two), (3, one)]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t), 0, "c") for i, t in rows], DOCS)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in substrings.digests(docs).collect())
+    want = []
+    for i, text in rows:
+        # What other rows of the id repeat or hold does not count.
+        texts = {k: t.encode() for k, (j, t) in enumerate(rows) if j < i} | {9: text.encode()}
+        gone = covered(texts)[9]
+        kept = bytes(np.frombuffer(text.encode(), np.uint8)[~gone])
+        want.append((i, len(text), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+    assert got == sorted(want)
+    assert [n > 0 for _, _, n, _ in want] == [False, True, True, True]
+
+
 def test_mixing(docs, rows, nulls, nothing):
     got = mixing.mix(docs, shard_rows=8, left_shards=2).collect()
     assert len(got) == len(rows)
