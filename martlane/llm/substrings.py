@@ -13,7 +13,10 @@ with a smaller doc_id. All strings of that length are judged:
 3. The bytes of open contexts meet by anchor, a few dozen bytes each. Windows that no
    other document has are put aside by hash; the rest, with the earliest contexts
    they may repeat, are sorted by suffix array in blocks of bounded size, and what
-   is equal there over LENGTH bytes in an earlier document is covered.
+   is equal there over LENGTH bytes in an earlier document is covered. An anchor
+   with more than GATHER bytes of contexts is a crowd: its contexts are dealt to groups
+   of about that size, which learn from each other by hash which windows an earlier
+   document has in another group, and get one copy of each such window.
 4. Covered stretches meet their documents' texts; texts without any are never moved.
 
 Defined results: a null text is empty; texts shorter than LENGTH repeat nothing;
@@ -40,7 +43,7 @@ PIECE = 20
 RUN_BYTES = 250_000
 SEND_ANCHORS = 2_000_000  # anchors a task holds before it sends them
 BLOCK = 32_768  # bytes that are sorted at once
-GATHER = 1 << 20  # bytes of contexts that are compared by hash at once
+GATHER = 1 << 20  # bytes of contexts that are compared by hash at once, about
 _PLACE = np.uint64((1 << 28) - 1)
 _LOW = np.uint64((1 << 40) - 1)
 
@@ -303,20 +306,24 @@ def _sorted_block(block: list[tuple[int, int, int, bytes]]) -> list[tuple[int, i
     return found
 
 
-def repeats(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-    """doc_id, print, start and stop of what the contexts (doc_id, print, place, bytes) repeat of
-    one another."""
-    run = [s for *_, s in contexts]
+def _windows(run: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the strings: which string, where in it, and a hash."""
     data = np.frombuffer(b"".join(run), np.uint8)
     sizes = np.array([len(s) for s in run])
     begins = np.cumsum(sizes) - sizes
-    of = np.repeat(np.arange(len(run)), sizes - LENGTH + 1)
     counts = sizes - LENGTH + 1
+    of = np.repeat(np.arange(len(run)), counts)
     within = np.arange(len(of)) - (np.cumsum(counts) - counts)[of]
     at = begins[of] + within
     sums = prefix_sums(data)
     _, down = powers(len(data))
-    hashes = mixed((sums[at + LENGTH] - sums[at]) * down[at])
+    return of, within, mixed((sums[at + LENGTH] - sums[at]) * down[at])
+
+
+def repeats(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+    """doc_id, print, start and stop of what the contexts (doc_id, print, place, bytes) repeat of
+    one another."""
+    of, within, hashes = _windows([s for *_, s in contexts])
     docs = np.array([d for d, *_ in contexts])[of]
     order = np.lexsort((docs, hashes))
     new = np.ones(len(order), bool)
@@ -389,6 +396,91 @@ def _met(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _met_in_crowds(contexts: DataFrame, crowds: DataFrame) -> DataFrame:
+    """What _met finds, for the anchors in crowds (anchor, size): no task holds a whole anchor."""
+    group = ["anchor", "salt"]
+    place = F.xxhash64("doc_id", "print", "starts")
+    n_groups = F.ceil(F.col("size") / GATHER).cast("long")
+    members = written(
+        contexts.join(side(crowds), "anchor")
+        .select(*contexts.columns, F.pmod(place, n_groups).alias("salt"))
+        .dropDuplicates(["anchor", "doc_id", "print", "starts"]),
+        "substring-crowd",
+    )
+
+    def first_of(own: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        """Of each distinct window hash, doc_id, string and place where it is earliest."""
+        of, within, hashes = _windows(own["contexts"].tolist())
+        docs = own["doc_id"].to_numpy(np.int64)[of]
+        order = np.lexsort((docs, hashes))
+        first = order[np.append(True, hashes[order[1:]] != hashes[order[:-1]])]
+        return hashes[first].view(np.int64), docs[first], of[first], within[first]
+
+    def distinct(own: pd.DataFrame) -> pd.DataFrame:
+        hashes, docs, _, _ = first_of(own)
+        found = pd.DataFrame({"hash": hashes, "doc_id": docs})
+        return found.assign(anchor=own["anchor"].iloc[0], salt=own["salt"].iloc[0])
+
+    windows = written(
+        members.groupBy(group).applyInPandas(
+            distinct, "anchor long, salt long, hash long, doc_id long"
+        ),
+        "substring-windows",
+    )
+    # A hash has one row of a group at most; the earliest one's group gives copies to the others.
+    shared = (
+        windows.groupBy("anchor", "hash")
+        .agg(F.min(F.struct("doc_id", "salt")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("anchor", "first.salt", "hash")
+    )
+
+    def copied(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        hashes, docs, of, within = first_of(own)
+        texts = own["contexts"].tolist()
+        at = np.flatnonzero(np.isin(hashes, asked["hash"].to_numpy(np.int64)))
+        copies = [texts[of[k]][within[k] : within[k] + LENGTH] for k in at]
+        found = pd.DataFrame({"hash": hashes[at], "source": docs[at], "window": copies})
+        return found.assign(anchor=own["anchor"].iloc[0])
+
+    sources = (
+        members.groupBy(group)
+        .cogroup(shared.groupBy(group))
+        .applyInPandas(copied, "anchor long, hash long, source long, window binary")
+    )
+    wanted = (
+        windows.join(sources, ["anchor", "hash"])
+        .filter("source < doc_id")
+        .select("anchor", "salt", "source", "window")
+    )
+
+    def rows(own: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        held = list(own[["doc_id", "print", "starts", "contexts"]].itertuples(index=False, name=None))
+        # A copy is of the earliest document that has the window, so nothing is found in it.
+        held += [(doc, 0, 0, x) for doc, x in zip(given["source"], given["window"], strict=True)]
+        return pd.DataFrame(repeats(held), columns=STRETCH, dtype="int64")
+
+    return (
+        members.groupBy(group)
+        .cogroup(wanted.groupBy(group))
+        .applyInPandas(rows, ", ".join(f"{c} long" for c in STRETCH))
+    )
+
+
+def _stretches(contexts: DataFrame) -> DataFrame:
+    """Stretches of the open contexts that an earlier document has too."""
+    crowds = written(
+        contexts.groupBy("anchor")
+        .agg(F.sum(F.octet_length("contexts")).alias("size"))
+        .filter(F.col("size") > GATHER),
+        "substring-crowds",
+    )
+    if crowds.isEmpty():
+        return _met(contexts)
+    few = contexts.join(side(crowds.select("anchor")), "anchor", "left_anti")
+    return _met(few).unionAll(_met_in_crowds(contexts, crowds))
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -406,7 +498,7 @@ def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     stretches = F.collect_list(F.array("start", "stop")).alias("more")
     # Stretches are places of one text: rows of one doc_id may have several.
     own = ["doc_id", "print"]
-    more = _met(contexts).groupBy(own).agg(stretches)
+    more = _stretches(contexts).groupBy(own).agg(stretches)
     touched = marked.select("doc_id", "bytes", "print", "spans").join(more, own, "left")
     return ids, texts.join(side(ids), "doc_id", "left_anti"), touched
 

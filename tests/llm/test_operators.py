@@ -185,6 +185,32 @@ def test_substrings_of_texts_with_one_id(spark):
     assert [n > 0 for _, _, n, _ in want] == [False, True, True, True]
 
 
+def test_substrings_of_a_crowd(spark, monkeypatch):
+    """Hundreds of texts hold the edges of one passage: no group has all contexts of an anchor."""
+    texts = dict(enumerate(t.encode() for t in ends_of_a_passage(random.Random(3), 400)))
+    whole, gather = substrings.repeats, 1_000
+
+    def bounded(contexts):
+        assert sum(len(s) for *_, s in contexts) <= 4 * gather
+        return whole(contexts)
+
+    monkeypatch.setattr(substrings, "GATHER", gather)
+    monkeypatch.setattr(substrings, "repeats", bounded)
+    rows = [(i, t.decode(), "en", None, len(t), 0, "c") for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    gone = covered(texts)
+    for r in substrings.digests(docs).collect():
+        kept = bytes(np.frombuffer(texts[r.doc_id], np.uint8)[~gone[r.doc_id]])
+        assert r.n_removed == gone[r.doc_id].sum()
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+@pytest.mark.parametrize("gather", [1, 200])
+def test_substrings_in_crowds_only(docs, rows, gather, monkeypatch):
+    monkeypatch.setattr(substrings, "GATHER", gather)
+    test_substrings(docs, rows, 32_768, monkeypatch)
+
+
 def test_mixing(docs, rows, nulls, nothing):
     got = mixing.mix(docs, shard_rows=8, left_shards=2).collect()
     assert len(got) == len(rows)
