@@ -40,6 +40,7 @@ EVENT_FIELDS = {
 }
 PAGE_LINK = 'href="(/th[^"]+)"'
 HEADER = "role;text"
+BODY_EVENTS = 1000  # events of a body of many payloads at most; a multiple of a payload's four
 
 
 def _event_payloads(d: Standins) -> DataFrame:
@@ -112,16 +113,22 @@ def lines_polled_twice(d: Standins) -> DataFrame:
     return raw.select(path("RAW", "$", "string").alias("line"))
 
 
-def multiline_payloads(d: Standins) -> DataFrame:
-    """All good payloads of a minute's hand as one pretty-printed body per file."""
-    items = d.stationboard_payloads().filter("value LIKE '{\"results\":[{%'")
+def _bodies(items: DataFrame) -> DataFrame:
+    """Stationboard payloads joined to pretty-printed bodies of up to BODY_EVENTS events each."""
     inner = F.regexp_extract("value", r"^\{\"results\":\[(.*)\]\}$", 1)
     body = F.concat(
         F.lit('{\n  "results": [\n    '), F.array_join(F.collect_list(inner), ",\n    "), F.lit("\n  ]\n}")
     )
-    bodies = items.groupBy(F.pmod(F.xxhash64("value"), F.lit(8)).alias("file")).agg(body.alias("value"))
+    first_event = F.regexp_extract("value", r'"fahrt_bezeichner":"J(-?\d+)"', 1).try_cast("long")
+    return items.groupBy(F.floor(first_event / BODY_EVENTS)).agg(body.alias("value")).select("value")
+
+
+def multiline_payloads(d: Standins) -> DataFrame:
+    """All good payloads, those of BODY_EVENTS numbers as one pretty-printed body per file."""
+    items = d.stationboard_payloads().filter("value LIKE '{\"results\":[{%'")
     folder = work_folder(d.spark, "bodies")
-    bodies.repartition(1).write.partitionBy("file").text(f"{folder}/landing")
+    # One row per file, written by as many tasks as there are.
+    _bodies(items).write.option("maxRecordsPerFile", 1).text(f"{folder}/landing")
     return stg_sbb_stationboard(read_raw(d.spark, _ingested(d, folder, FEEDS["sbb_stationboard"])))
 
 

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from martlane.demo import registry
+from martlane.demo import registry, streams
 from martlane.demo.standins import Standins
 
 duckdb = pytest.importorskip("duckdb")
@@ -62,6 +62,24 @@ def test_query_matches_its_sql(standins, oracle, name):
     assert got
 
 
+def test_bodies_of_many_payloads_stay_small(standins, monkeypatch):
+    """There are as many bodies as the table needs, each a file of so many events at most."""
+    folders, ingested = [], streams._ingested
+
+    def seen(d, folder, *args, **options):
+        folders.append(Path(folder.removeprefix("file:")))
+        return ingested(d, folder, *args, **options)
+
+    monkeypatch.setattr(streams, "_ingested", seen)
+    monkeypatch.setattr(streams, "BODY_EVENTS", 20, raising=False)
+    n = streams.multiline_payloads(standins).count()
+    files = [f.read_text(encoding="utf-8") for f in (folders[0] / "landing").rglob("part-*")]
+    counts = [text.count('"fahrt_bezeichner"') for text in files]
+    assert sum(counts) == n
+    assert max(counts) <= 20
+    assert all(text.count('"results"') == 1 for text in files)
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
