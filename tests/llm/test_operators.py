@@ -102,6 +102,18 @@ def test_jaccard(docs, rows, size, percent, frequent, long, block, monkeypatch):
     assert len(got) == len(rows)
 
 
+def test_jaccard_ranges_grow_with_the_texts(docs, rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "RANGE_BYTES", 3_000)
+    texts = jaccard.documents(docs)
+    size = sum(len((r[1] or "").encode()) for r in rows)
+    assert jaccard._ranges(texts, 4) == -(-size // 3_000) > 4
+    assert jaccard._ranges(texts.unionAll(texts), 4) == -(-2 * size // 3_000)
+    assert jaccard._ranges(texts.limit(0), 4) == 4
+    sets = {r[0]: shingles(r[1], 3) for r in rows}
+    got = {r.doc_id: r.component_id for r in jaccard.join(docs, 3, 90).collect()}
+    assert got == components(sets, near(sets, 90))
+
+
 def test_jaccard_keeps_one_of_each_group(docs, rows, nulls, nothing):
     sets = {r[0]: shingles(r[1], 5) for r in rows}
     roots = components(sets, near(sets, 80))
