@@ -11,6 +11,7 @@ from martlane.llm import (
     jaccard,
     licenses,
     lm,
+    merkle,
     mixing,
     near_vectors,
     packing,
@@ -69,6 +70,10 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
     return lm.score(table(spark, sf_dir, "documents"), good)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_pack_sequences": op2_pack_sequences,
@@ -80,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_cross_entropy_difference": op10_cross_entropy_difference,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": merkle.ORACLE,
+}
