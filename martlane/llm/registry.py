@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlane.llm import (
     ann,
+    chat,
     jaccard,
     licenses,
     lm,
@@ -70,6 +71,10 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
     return lm.score(table(spark, sf_dir, "documents"), good)
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
@@ -85,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_cross_entropy_difference": op10_cross_entropy_difference,
+    "op12_chat_format": op12_chat_format,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_chat_format": chat.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
