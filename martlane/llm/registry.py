@@ -17,6 +17,7 @@ from martlane.llm import (
     near_vectors,
     packing,
     quality,
+    repair,
     substrings,
     token_files,
     tokens,
@@ -71,6 +72,11 @@ def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame
     return lm.score(table(spark, sf_dir, "documents"), good)
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.report(rows, rows["times"])
+
+
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(table(spark, sf_dir, "conversations"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_cross_entropy_difference": op10_cross_entropy_difference,
+    "op11_repair_conversations": op11_repair_conversations,
     "op12_chat_format": op12_chat_format,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
