@@ -1015,3 +1015,46 @@ add(
          arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value
        FROM events GROUP BY user_id""",
 )
+add(
+    "stream_raw_compacted",
+    streams.raw_compacted,
+    """SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, value
+       FROM events""",
+)
+add(
+    "stream_dedupe_indexed",
+    streams.dedupe_over_compactions,
+    """SELECT DISTINCT user_id::VARCHAR AS raw_key, event_type, hour(ts)::INT AS hour FROM events""",
+)
+add(
+    "stream_flatten_misfits",
+    streams.flatten_misfits,
+    """SELECT 'flat' AS kind, event_id, CASE WHEN event_type <> 'error' THEN value END AS value,
+         NULL::VARCHAR AS payload FROM events
+       UNION ALL
+       SELECT 'value', NULL, NULL, '{"event_id":' || event_id || ',"value":"none"}'
+       FROM events WHERE event_type = 'error'""",
+)
+add(
+    "quarantine_retry",
+    streams.quarantine_retry,
+    """WITH lost AS (
+         SELECT event_type, props,
+           CASE event_type WHEN 'error' THEN '{"k":' WHEN 'view' THEN props || props ELSE props || ' tail' END AS sent,
+           CASE event_type WHEN 'error' THEN 'no json value' ELSE 'more than one value' END AS cause
+         FROM events WHERE event_type IN ('error', 'view', 'signup')
+       )
+       SELECT attempt::INT AS attempt, cause, outcome, payload, count(*) AS n FROM (
+         SELECT 1 AS attempt, cause, 'retried' AS outcome, NULL AS payload FROM lost
+         UNION ALL SELECT 2, cause, 'dead', sent FROM lost WHERE event_type <> 'signup'
+         UNION ALL SELECT 2, NULL, 'recovered', NULL FROM lost WHERE event_type = 'signup'
+         UNION ALL SELECT 0, NULL, 'raw', replace(props, ' ', '') FROM lost WHERE event_type = 'signup'
+       ) GROUP BY ALL""",
+)
+add(
+    "stream_latest_upserted",
+    streams.upserted_latest,
+    """SELECT user_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS ts,
+         arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value
+       FROM events GROUP BY user_id""",
+)

@@ -28,7 +28,9 @@ from martlane.streaming.ingest import (
     read_raw,
     stream_raw,
 )
+from martlane.streaming import follow, generations
 from martlane.streaming.keyed import dedupe_within, latest_sink, read_latest
+from martlane.streaming.upsert import read_upserted, upsert_sink
 
 EVENTS_FEED = Feed("events", "demo", "json", "1 minute", "$.user_id")
 EVENT_FIELDS = {
@@ -198,3 +200,114 @@ def text_lines(d: Standins) -> DataFrame:
     folder = _landed(d, batches, "lines")
     lines = drop_header(read_payloads(d.spark, f"{folder}/landing", "lines"), HEADER)
     return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _landed_in(d: Standins, payloads: DataFrame, purpose: str, files: int, rounds: int):
+    """Payloads dealt to rounds by their hash; yields the folder once each round has landed."""
+    folder = work_folder(d.spark, purpose)
+    dealt = payloads.withColumn("round", F.pmod(F.xxhash64("value"), F.lit(rounds)))
+    for n in range(rounds):
+        own = dealt.filter(F.col("round") == n).select("value")
+        own.repartition(files).write.mode("append").text(f"{folder}/landing")
+        yield folder
+
+
+def raw_compacted(d: Standins) -> DataFrame:
+    """Micro-batches of one file each; batches are merged, and their folders dropped, in between."""
+    for folder in _landed_in(d, _event_payloads(d), "compacted", files=3, rounds=3):
+        raw = _ingested(d, folder, max_files=1)
+        generations.compact(d.spark, raw, fan=2)
+        generations.vacuum(d.spark, raw, keep=0)
+    return _typed(read_raw(d.spark, raw))
+
+
+def dedupe_over_compactions(d: Standins) -> DataFrame:
+    """Every payload lands in three rounds; the index finds it in segments and in single batches."""
+    payloads = d.source("events").selectExpr(
+        "to_json(named_struct('user_id', user_id, 'event_type', event_type, 'hour', hour(ts))) AS value"
+    )
+    folder = work_folder(d.spark, "dedupe-compacted")
+    for n in range(3):
+        payloads.repartition(2, F.xxhash64("value", F.lit(n))).write.mode("append").text(f"{folder}/landing")
+        raw = _ingested(d, folder, dedupe=True, max_files=1)
+        if n < 2:
+            generations.compact(d.spark, raw)
+    kept = read_raw(d.spark, raw)
+    return kept.select(
+        "raw_key",
+        path("RAW", "$.event_type", "string").alias("event_type"),
+        path("RAW", "$.hour", "int").alias("hour"),
+    )
+
+
+MISFIT_FIELDS = {"event_id": ("$.event_id", "bigint"), "value": ("$.value", "double")}
+
+
+def flatten_misfits(d: Standins) -> DataFrame:
+    """Flat rows and misfits of one read; the value of an error event is a text that is no number."""
+    payloads = d.source("events").selectExpr(
+        "to_json(named_struct('items', array(if(event_type = 'error',"
+        " to_variant_object(named_struct('event_id', event_id, 'value', 'none')),"
+        " to_variant_object(named_struct('event_id', event_id, 'value', value)))))) AS value"
+    )
+    for folder in _landed_in(d, payloads, "misfits", files=2, rounds=2):
+        raw = _ingested(d, folder, max_files=1)
+        flat = f"{folder}/flat"
+        query = follow.flatten_with_misfits(
+            d.spark, raw, flat, "$.items", MISFIT_FIELDS, f"{folder}/flat-state", max_batches=1
+        )
+        query.awaitTermination()
+        generations.compact(d.spark, raw)
+    good = follow.read_flat(d.spark, flat, MISFIT_FIELDS).select(
+        F.lit("flat").alias("kind"), "event_id", "value", F.lit(None).cast("string").alias("payload")
+    )
+    bad = follow.read_misfits(d.spark, flat, MISFIT_FIELDS).select(
+        F.concat_ws(",", "misfit_fields").alias("kind"),
+        F.lit(None).cast("bigint").alias("event_id"),
+        F.lit(None).cast("double").alias("value"),
+        "payload",
+    )
+    return good.unionByName(bad)
+
+
+def quarantine_retry(d: Standins) -> DataFrame:
+    """Payloads with a tail are mended by the second attempt; broken and doubled ones end as dead letters."""
+    payloads = d.source("events").selectExpr(
+        "CASE event_type WHEN 'error' THEN '{\"k\":' WHEN 'view' THEN concat(props, props)"
+        " WHEN 'signup' THEN concat(props, ' tail') ELSE props END AS value"
+    )
+    for folder in _landed_in(d, payloads, "retry", files=2, rounds=2):
+        raw = _ingested(d, folder, max_files=1)
+        query = follow.retry_quarantine(
+            d.spark,
+            raw,
+            f"{folder}/retry",
+            EVENTS_FEED,
+            f"{folder}/retry-state",
+            mend=lambda payload: F.regexp_replace(payload, " tail$", ""),
+        )
+        query.awaitTermination()
+    tried = follow.read_ledger(d.spark, f"{folder}/retry").select("attempt", "cause", "outcome", "payload")
+    saved = follow.read_recovered(d.spark, f"{folder}/retry").select(
+        F.lit(0).alias("attempt"),
+        F.lit(None).cast("string").alias("cause"),
+        F.lit("raw").alias("outcome"),
+        F.to_json("RAW").alias("payload"),
+    )
+    both = tried.unionByName(saved)
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def upserted_latest(d: Standins) -> DataFrame:
+    """The latest event per user as maintained state, updated by five micro-batches."""
+    folder = work_folder(d.spark, "upsert")
+    _event_payloads(d).select("value").repartition(5).write.text(f"{folder}/landing")
+    lines = read_payloads(d.spark, f"{folder}/landing", "json", stream=True, maxFilesPerTrigger=1)
+    events = _typed(lines.select(F.parse_json("value").alias("RAW")))
+    events = events.select("user_id", "ts", "event_id", "value")
+    query = upsert_sink(
+        events, ["user_id"], "ts", f"{folder}/latest", f"{folder}/state", tiebreak=["event_id"], buckets=16
+    )
+    query.awaitTermination()
+    schema = "user_id bigint, ts timestamp_ntz, event_id bigint, value double"
+    return read_upserted(d.spark, f"{folder}/latest", schema)

@@ -5,15 +5,15 @@ that is repeated after a failure replaces what it wrote in part, and leaves
 alone what it had finished, since a stream may have read those files already.
 So nothing is doubled, here or downstream. That a batch is finished is a row of
 the table's own manifest, written last; that a payload has been there is told by
-its digest, in a narrow table beside the payloads. Both lie in folders that
-readers of the raw table pass over.
+its digest, in an index beside the payloads (``digests``). Batches are merged into
+larger files by ``generations.compact``. All that lies in folders that a plain scan of
+the raw table passes over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,11 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from martlane.operators.flatten import misfits
 from martlane.sources.feeds import read_payloads, wrap_payloads
 from martlane.sources.schemas import FEEDS, Feed
+from martlane.streaming import digests, generations, manifest
+from martlane.streaming.generations import RAW_SCHEMA
 
-RAW_SCHEMA = "RAW variant, raw_key string, payload string, batch_id bigint, kind string"
 GOOD, BAD = "raw", "quarantine"
-# Folders beside the batches: finished batches, and digests of the payloads of each.
-MANIFEST, SEEN = "_manifest", "_seen"
 
 
 def run_trigger(feed: Feed, once: bool) -> dict:
@@ -33,34 +32,13 @@ def run_trigger(feed: Feed, once: bool) -> dict:
     return {"availableNow": True} if once else {"processingTime": feed.period}
 
 
-def _side_table(spark: SparkSession, out: str, name: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).option("basePath", f"{out}/{name}").parquet(f"{out}/{name}")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
-
-
-def is_complete(spark: SparkSession, out: str, batch_id: int) -> bool:
-    """Whether the manifest says that a batch is finished."""
-    manifest = _side_table(spark, out, MANIFEST, "done boolean, batch_id bigint")
-    return manifest is not None and not manifest.filter(F.col("batch_id") == batch_id).isEmpty()
-
-
-def first_per_digest(batch: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """One payload per digest, and none whose digest is in ``seen``.
+def first_per_digest(batch: DataFrame) -> DataFrame:
+    """One payload per digest.
 
     Equal digests are equal texts, so a changed payload of a known key stays. The
-    choice is an aggregate, so copies are reduced before the shuffle. ``seen`` is
-    cut down to the batch's digests first: when those are few, Spark ships them to
-    the scan and the larger table is never shuffled.
+    choice is an aggregate, so copies are reduced before the shuffle.
     """
-    kept = batch.groupBy("digest").agg(F.min("value").alias("value"))
-    if seen is None:
-        return kept
-    known = seen.select("digest").join(kept.select("digest"), "digest", "left_semi")
-    return kept.join(known, "digest", "left_anti")
+    return batch.groupBy("digest").agg(F.min("value").alias("value"))
 
 
 def write_batch(
@@ -77,18 +55,19 @@ def write_batch(
     ``look_back``, in so many batches before it, else in all.
     """
     spark = batch.sparkSession
-    if is_complete(spark, out, batch_id):
+    if generations.is_finished(spark, out, batch_id):
         return
-    rows = batch.select("value")
+    rows, added = batch.select("value"), None
     if dedupe:
-        seen = _side_table(spark, out, SEEN, "digest string, batch_id bigint")
-        if seen is not None:
-            seen = seen.filter(F.col("batch_id") < batch_id)
-            if look_back is not None:
-                seen = seen.filter(F.col("batch_id") >= batch_id - look_back)
-        chosen = first_per_digest(rows.withColumn("digest", F.sha2("value", 256)), seen).persist()
-        chosen.select("digest").write.mode("overwrite").parquet(f"{out}/{SEEN}/batch_id={batch_id}")
-        rows = chosen.select("value")
+        chosen = first_per_digest(rows.withColumn("digest", F.sha2("value", 256))).persist()
+        since = None if look_back is None else batch_id - look_back
+        known = digests.known(chosen, generations.runs(spark, out, batch_id), since)
+        fresh = chosen if known is None else chosen.join(known, "digest", "left_anti").persist()
+        added = fresh.count()
+        if added:
+            own = fresh.select("digest", F.lit(batch_id).cast("bigint").alias("batch_id"))
+            digests.write(own, f"{out}/{digests.SEEN}/batch_id={batch_id}", added)
+        rows = fresh.select("value")
     good = F.col("RAW").isNotNull()
     key = F.lit(None) if feed.key_path is None else F.try_variant_get("RAW", feed.key_path, "string")
     wrap_payloads(rows, feed.wrap).select(
@@ -99,8 +78,8 @@ def write_batch(
     ).write.mode("overwrite").partitionBy("kind").parquet(f"{out}/batch_id={batch_id}")
     if dedupe:
         chosen.unpersist()
-    done = spark.range(1).select(F.lit(True).alias("done"))
-    done.write.mode("overwrite").parquet(f"{out}/{MANIFEST}/batch_id={batch_id}")
+        fresh.unpersist()
+    manifest.mark(spark, out, batch_id, digests=added)
 
 
 def ingest(
@@ -131,7 +110,7 @@ def ingest(
 
 
 def _layer(spark: SparkSession, out: str, kind: str | None) -> DataFrame:
-    table = spark.read.schema(RAW_SCHEMA).option("basePath", out).parquet(out)
+    table = generations.rows(spark, out)
     return table if kind is None else table.filter(F.col("kind") == kind)
 
 
@@ -146,7 +125,10 @@ def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_raw(spark: SparkSession, out: str, **options) -> DataFrame:
-    """The raw table as a stream, for incremental flattening."""
+    """The batch folders as a stream, for incremental flattening of a table that is not compacted.
+
+    ``follow`` goes on through compactions.
+    """
     reader = spark.readStream.schema(RAW_SCHEMA)
     for name, value in options.items():
         reader = reader.option(name, value)
