@@ -670,7 +670,7 @@ add(
     "metric_fanout_guard",
     lambda d: metrics.metric_query(
         metrics.FULFILLMENT,
-        d.saved(d.fulfillment),
+        d.fulfillment,
         ["total_revenue", "avg_delivery_days", "total_payments", "order_count", "shipment_count"],
         ["order_status"],
         guard_fanout=True,

@@ -13,9 +13,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlane.operators.heavy import heavy_keys, summarize
 from martlane.operators.joins import HOT_ROWS
 from martlane.plans import enterprise, feeds, logistics, payments, staging
-from martlane.session import tune, work_folder
+from martlane.session import stored, tune
 
 
 def _case(column: str, mapping: dict[str, str], other: str) -> str:
@@ -99,6 +100,10 @@ REFUND_STATUS = _case(
 )
 
 
+# Lists of heavy keys by session, folder, table and key.
+_HEAVY: dict[tuple[str, ...], DataFrame] = {}
+
+
 class Standins:
     """Raw stand-ins, staging and marts over one data folder, built on demand."""
 
@@ -479,7 +484,11 @@ class Standins:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return logistics.mart_customer_overview(self.stg("business_customer"), self.stg("customer_contact"))
+        return logistics.mart_customer_overview(
+            self.stg("business_customer"),
+            self.stg("customer_contact"),
+            self.heavy("customer_contact", "customer_id"),
+        )
 
     @cached_property
     def fleet(self) -> DataFrame:
@@ -495,7 +504,11 @@ class Standins:
 
     @cached_property
     def products(self) -> DataFrame:
-        return logistics.mart_product_catalog(self.stg("product"), self.stg("product_tariff"))
+        return logistics.mart_product_catalog(
+            self.stg("product"),
+            self.stg("product_tariff"),
+            self.heavy("product_tariff", "product_id"),
+        )
 
     @cached_property
     def shipments(self) -> DataFrame:
@@ -509,17 +522,25 @@ class Standins:
     def transactions(self) -> DataFrame:
         return payments.mart_transaction_summary(self.stg("payment"), self.stg("refund"))
 
-    def counted(self, **tables: str) -> dict[str, DataFrame]:
-        """Staging tables with the key values of the marts, for finding hot keys."""
-        return {mart: self.stg(table) for mart, table in tables.items()}
+    def heavy(self, table: str, key: str) -> DataFrame:
+        """The stored list of a staging table's heavy keys, written once for a table and session."""
+        name = (self.spark.sparkContext.applicationId, self.folder, table, key)
+        if name not in _HEAVY:
+            staged = self.stg(table)
+            summary = stored(summarize(staged, key), "summary")
+            _HEAVY[name] = stored(heavy_keys(staged, key, summary), "heavy")
+        return _HEAVY[name]
 
     def fulfillment_with(self, hot_rows: int) -> DataFrame:
         return enterprise.fulfillment_lifecycle(
             self.orders,
             self.shipments,
             self.transactions,
-            self.counted(shipments="shipment", transactions="payment"),
-            hot_rows,
+            hot_rows=hot_rows,
+            heavy={
+                "shipments": self.heavy("shipment", "order_id"),
+                "transactions": self.heavy("payment", "order_id"),
+            },
         )
 
     def customer_360_with(self, hot_rows: int) -> DataFrame:
@@ -527,8 +548,8 @@ class Standins:
             self.customers,
             self.orders,
             self.merchants,
-            self.counted(customers="business_customer", merchants="merchant_account"),
-            hot_rows,
+            hot_rows=hot_rows,
+            heavy={"merchants": self.heavy("merchant_account", "customer_id")},
         )
 
     @cached_property
@@ -553,21 +574,15 @@ class Standins:
             self.orders,
             self.shipments,
             self.customers,
-            self.counted(
-                orders="order_header",
-                shipments="shipment",
-                transactions="payment",
-                customers="business_customer",
-            ),
-            hot_rows,
+            hot_rows=hot_rows,
+            heavy={
+                "shipments": self.heavy("shipment", "order_id"),
+                "transactions": self.heavy("payment", "order_id"),
+                # The mart has a row per primary contact of a customer.
+                "customers": self.heavy("customer_contact", "customer_id"),
+            },
         )
 
-    def saved(self, df: DataFrame) -> DataFrame:
-        """The frame as a table in a new shared folder, for plans that read it often."""
-        folder = work_folder(self.spark, "mart")
-        df.write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
-
     @cached_property
     def rail(self) -> DataFrame:
         return feeds.mart_swiss_rail_overview(self.connections, self.stationboard)

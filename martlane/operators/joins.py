@@ -25,8 +25,10 @@ class Side:
     ``spread`` names columns that differ between rows of one key; a hot key is
     cut into pieces by their hash, so a repeated task cuts the same way.
     ``keep_base`` is a left join, otherwise an inner join. ``counted`` may name
-    a cheaper frame with the same key values to count keys on. ``unique`` says
-    that no key repeats, so there is nothing to count or to cut.
+    a cheaper frame with the same key values to count keys on. ``heavy`` is the
+    stored list of the table's heavy keys (``heavy_keys``), with which nothing
+    is counted. ``unique`` says that no key repeats, so there is nothing to count
+    or to cut.
     """
 
     df: DataFrame
@@ -34,6 +36,32 @@ class Side:
     keep_base: bool = True
     counted: DataFrame | None = None
     unique: bool = False
+    heavy: DataFrame | None = None
+
+
+def _heaviest(found: DataFrame) -> DataFrame:
+    """One row per key of (hot_key, n, cut, pieces): that of the table where it is heaviest.
+
+    The list is used for every table, so it must come out the same each time it is
+    computed: equal counts are decided by position.
+    """
+    heaviest = F.max(F.struct("n", "cut", "pieces")).alias("h")
+    return found.groupBy("hot_key").agg(heaviest).select("hot_key", "h.cut", "h.pieces")
+
+
+def listed_hot_keys(
+    lists: dict[int, DataFrame], hot_rows: int = HOT_ROWS, share: int = HOT_SHARE
+) -> DataFrame:
+    """As ``hot_keys``, from stored lists of heavy keys instead of the tables."""
+
+    def heavy(position: int, keys: DataFrame) -> DataFrame:
+        limit = F.greatest(F.lit(float(hot_rows)), F.col("total") / share)
+        pieces = F.ceil(F.col("n") / limit).cast("int").alias("pieces")
+        return keys.filter(F.col("n") >= limit).select(
+            "hot_key", "n", F.lit(position).alias("cut"), pieces
+        )
+
+    return _heaviest(reduce(DataFrame.unionByName, [heavy(i, df) for i, df in lists.items()]))
 
 
 def hot_keys(
@@ -60,11 +88,7 @@ def hot_keys(
             F.ceil(F.col("n") / limit).cast("int").alias("pieces"),
         )
 
-    found = reduce(DataFrame.unionByName, [heavy(i, df) for i, df in tables.items()])
-    # The list is used for every table, so it must come out the same each time
-    # it is computed: equal counts are decided by position.
-    heaviest = F.max(F.struct("n", "cut", "pieces")).alias("h")
-    return found.groupBy("hot_key").agg(heaviest).select("hot_key", "h.cut", "h.pieces")
+    return _heaviest(reduce(DataFrame.unionByName, [heavy(i, df) for i, df in tables.items()]))
 
 
 def _in_pieces(
@@ -123,16 +147,38 @@ def star_join(
     the side itself has it, so what ``counted`` frames say changes the balance
     and never the result. ``counted`` has the base's key column when keys may
     repeat there. Without it the base is taken as unique.
+
+    If every side that can repeat a key has its stored list of heavy keys, no
+    table is counted. Without a hot key in the lists these are plain joins, in
+    which only the base can be skewed, which is split at run time.
     """
+    lists = {i: side.heavy for i, side in enumerate(sides, start=1) if not side.unique}
+    if counted is None and lists and all(heavy is not None for heavy in lists.values()):
+        hot = listed_hot_keys(lists, hot_rows, share)
+        if hot.isEmpty():
+            return _plain(base, key, sides)
+        return _cut_join(base, key, sides, spread, hot)
     tables = {} if counted is None else {0: counted}
     for position, side in enumerate(sides, start=1):
         if not side.unique:
             tables[position] = side.df if side.counted is None else side.counted
     if not tables:
         raise ValueError("no key can repeat in any table: plain joins will do")
-    hot = hot_keys(tables, key, hot_rows, share)
+    return _cut_join(base, key, sides, spread, hot_keys(tables, key, hot_rows, share))
+
+
+def _plain(base: DataFrame, key: str, sides: Sequence[Side]) -> DataFrame:
+    for side in sides:
+        keyed = side.df.filter(F.col(key).isNotNull())
+        base = base.join(keyed, key, "left" if side.keep_base else "inner")
+    return base
+
+
+def _cut_join(
+    base: DataFrame, key: str, sides: Sequence[Side], spread: Sequence[str], hot: DataFrame
+) -> DataFrame:
     for position, side in enumerate(sides, start=1):
-        if side.keep_base and side.counted is not None:
+        if side.keep_base and (side.counted is not None or side.heavy is not None):
             hot = _cut_where_found(hot, side.df, key, position)
 
     result = _in_pieces(base, key, hot, 0, spread, F.col("cut"))

@@ -1,8 +1,10 @@
 """Enterprise marts over the domain marts.
 
-``counted`` arguments name cheaper frames with the same key values as a mart
-(the staging table it has one row per row of); they only help to find hot keys.
-``hot_rows`` is how many rows a key needs to be cut into pieces at all.
+``heavy`` arguments are the stored lists of a mart's heavy keys, by mart; with them no
+mart is counted, and where no key is hot the joins are plain ones. Otherwise ``counted``
+arguments name cheaper frames with the same key values as a mart (the staging table it has
+one row per row of). Both only help to find hot keys. ``hot_rows`` is how many rows a key
+needs to be cut into pieces at all.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ def fulfillment_lifecycle(
     transactions: DataFrame,
     counted: dict[str, DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
+    heavy: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Orders with shipments and payments; every combination is a row."""
-    counted = counted or {}
+    counted, heavy = counted or {}, heavy or {}
     order_part = orders.select(
         "order_id",
         "customer_id",
@@ -60,8 +63,18 @@ def fulfillment_lifecycle(
         order_part,
         "order_id",
         [
-            Side(shipment_part, ["shipment_id"], counted=counted.get("shipments")),
-            Side(payment_part, ["payment_id"], counted=counted.get("transactions")),
+            Side(
+                shipment_part,
+                ["shipment_id"],
+                counted=counted.get("shipments"),
+                heavy=heavy.get("shipments"),
+            ),
+            Side(
+                payment_part,
+                ["payment_id"],
+                counted=counted.get("transactions"),
+                heavy=heavy.get("transactions"),
+            ),
         ],
         spread=["order_id"],
         hot_rows=hot_rows,
@@ -76,9 +89,10 @@ def customer_overview(
     merchants: DataFrame,
     counted: dict[str, DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
+    heavy: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Customers with order totals and the merchants they own, one row per merchant."""
-    counted = counted or {}
+    counted, heavy = counted or {}, heavy or {}
     per_customer = orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("header_total_chf").alias("total_order_value_chf"),
@@ -101,10 +115,15 @@ def customer_overview(
         "customer_id",
         [
             Side(per_customer, unique=True),
-            Side(owned, ["merchant_id"], counted=counted.get("merchants")),
+            Side(
+                owned,
+                ["merchant_id"],
+                counted=counted.get("merchants"),
+                heavy=heavy.get("merchants"),
+            ),
         ],
         spread=["customer_id", "primary_contact_id"],
-        counted=counted.get("customers", customers),
+        counted=None if "merchants" in heavy else counted.get("customers", customers),
         hot_rows=hot_rows,
     )
     return joined.select(
@@ -181,9 +200,10 @@ def transaction_report(
     customers: DataFrame,
     counted: dict[str, DataFrame] | None = None,
     hot_rows: int = HOT_ROWS,
+    heavy: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Payments of known orders with shipment and customer facts."""
-    counted = counted or {}
+    counted, heavy = counted or {}, heavy or {}
     payment_part = transactions.select(
         "order_id",
         "payment_id",
@@ -202,26 +222,40 @@ def transaction_report(
         orders.select("order_id", "customer_id"),
         "order_id",
         [
-            Side(payment_part, ["payment_id"], keep_base=False, counted=counted.get("transactions")),
-            Side(shipment_part, ["shipment_id"], counted=counted.get("shipments")),
+            Side(
+                payment_part,
+                ["payment_id"],
+                keep_base=False,
+                counted=counted.get("transactions"),
+                heavy=heavy.get("transactions"),
+            ),
+            Side(
+                shipment_part,
+                ["shipment_id"],
+                counted=counted.get("shipments"),
+                heavy=heavy.get("shipments"),
+            ),
         ],
         spread=["order_id"],
         hot_rows=hot_rows,
     )
-    # One customer may own a third of all rows. Such customers are found from the
-    # payments times shipments of their orders, and their rows cut into pieces.
-    payments_of = _rows_per_order(counted.get("transactions", transactions), "payments")
-    shipments_of = _rows_per_order(counted.get("shipments", shipments), "shipments")
-    weights = (
-        counted.get("orders", orders)
-        .select("order_id", "customer_id")
-        .join(payments_of, "order_id")
-        .join(shipments_of, "order_id", "left")
-        .select(
-            "customer_id",
-            (F.col("payments") * F.coalesce("shipments", F.lit(1))).alias(WEIGHT),
+    # One customer may own a third of all rows. On the base of a left join such a customer is
+    # split at run time; without a list of heavy customers they are found from the payments
+    # times shipments of their orders, and their rows cut into pieces.
+    weights = None
+    if "customers" not in heavy:
+        payments_of = _rows_per_order(counted.get("transactions", transactions), "payments")
+        shipments_of = _rows_per_order(counted.get("shipments", shipments), "shipments")
+        weights = (
+            counted.get("orders", orders)
+            .select("order_id", "customer_id")
+            .join(payments_of, "order_id")
+            .join(shipments_of, "order_id", "left")
+            .select(
+                "customer_id",
+                (F.col("payments") * F.coalesce("shipments", F.lit(1))).alias(WEIGHT),
+            )
         )
-    )
     report = star_join(
         by_order,
         "customer_id",
@@ -230,6 +264,7 @@ def transaction_report(
                 customers.select("customer_id", "company_name", "primary_contact_id"),
                 ["primary_contact_id"],
                 counted=counted.get("customers"),
+                heavy=heavy.get("customers"),
             )
         ],
         spread=["payment_id", "shipment_id"],

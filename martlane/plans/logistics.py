@@ -12,8 +12,13 @@ from martlane.operators.latest import latest_per_key
 from martlane.sources.schemas import ZONE_TYPES
 
 
-def mart_customer_overview(business_customer: DataFrame, customer_contact: DataFrame) -> DataFrame:
-    """Customers with their primary contacts; several primaries repeat the customer."""
+def mart_customer_overview(
+    business_customer: DataFrame, customer_contact: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
+    """Customers with their primary contacts; several primaries repeat the customer.
+
+    ``heavy`` is the stored list of customers with very many contacts.
+    """
     renamed = {
         "contact_id": "primary_contact_id",
         "first_name": "primary_contact_first_name",
@@ -29,7 +34,7 @@ def mart_customer_overview(business_customer: DataFrame, customer_contact: DataF
     return star_join(
         customers,
         "customer_id",
-        [Side(primary, spread=["primary_contact_id"])],
+        [Side(primary, spread=["primary_contact_id"], heavy=heavy)],
         spread=["customer_id"],
     ).select(*customers.columns, *renamed.values())
 
@@ -78,15 +83,20 @@ def mart_order_summary(order_header: DataFrame, order_line_item: DataFrame) -> D
     )
 
 
-def mart_product_catalog(product: DataFrame, product_tariff: DataFrame) -> DataFrame:
-    """Products with tariff, duty, VAT and landed cost; NULL without a tariff."""
+def mart_product_catalog(
+    product: DataFrame, product_tariff: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
+    """Products with tariff, duty, VAT and landed cost; NULL without a tariff.
+
+    ``heavy`` is the stored list of products with very many tariffs.
+    """
     tariffs = product_tariff.withColumnRenamed("description", "tariff_description")
     own = [c for c in product.columns if c != "hs_tariff_code"]
     rates = [c for c in tariffs.columns if c != "product_id"]
     joined = star_join(
         product.select(*own),
         "product_id",
-        [Side(tariffs, spread=["tariff_id"])],
+        [Side(tariffs, spread=["tariff_id"], heavy=heavy)],
         spread=["product_id"],
     )
     price, duty, vat = F.col("unit_price_chf"), F.col("duty_rate_pct"), F.col("vat_rate_pct")

@@ -236,21 +236,42 @@ def _only_value(metric: Metric, name: str) -> Column:
     return value.alias(name)
 
 
-def _once_per_id(df: DataFrame, grain: str, measures: dict[str, Metric], dims: Sequence[str]) -> DataFrame:
-    """Metrics of one grain over one row per id and dimension values, fan-out undone."""
-    if not grain:
-        return df.groupBy(*dims).agg(*[_measure(m, name) for name, m in measures.items()])
-    per_id = (
-        df.filter(F.col(grain).isNotNull())
-        .groupBy(*dims, F.col(grain).alias("grain"))
-        .agg(*[F.max(m.column).alias(f"value_of_{name}") for name, m in measures.items()])
-    )
-    return per_id.groupBy(*dims).agg(
-        *[
-            AGGREGATES[m.aggregate](F.col(f"value_of_{name}")).alias(name)
-            for name, m in measures.items()
-        ]
-    )
+def _counts_ids(metric: Metric) -> bool:
+    """Whether a metric only counts the ids it belongs to."""
+    return metric.column == metric.grain and metric.aggregate in ("count", "count_distinct")
+
+
+def _once_per_id(df: DataFrame, measures: dict[str, Metric], dims: Sequence[str]) -> DataFrame:
+    """Metrics over one row per id and dimension values, fan-out undone; one scan for all grains.
+
+    Every row is expanded to one per grain, with that grain's id and facts only, and one
+    without an id that keeps groups in which a metric has none. The first aggregation
+    leaves a row per group, grain and id, the second one adds them up.
+    """
+    grains = list(dict.fromkeys(m.grain for m in measures.values()))
+    tag = F.col("tag")
+    ids = [F.when(tag == i, F.col(grain)).alias(f"id_{i}") for i, grain in enumerate(grains)]
+    facts = {
+        name: F.when(tag == grains.index(m.grain), F.col(m.column)).alias(f"value_of_{name}")
+        for name, m in measures.items()
+        if not _counts_ids(m)
+    }
+    tags = F.array(*[F.lit(i) for i in range(-1, len(grains))])
+    expanded = df.withColumn("tag", F.explode(tags)).select(*dims, "tag", *ids, *facts.values())
+    names = [f"id_{i}" for i in range(len(grains))]
+    # An id is set under its own tag only.
+    expanded = expanded.filter((tag == -1) | reduce(Column.__or__, [F.col(n).isNotNull() for n in names]))
+    keys = [*dims, "tag", *names]
+    values = [F.max(f"value_of_{name}").alias(f"value_of_{name}") for name in facts]
+    per_id = expanded.groupBy(*keys).agg(*values) if values else expanded.select(*keys).distinct()
+
+    def measure(name: str, m: Metric) -> Column:
+        own = tag == grains.index(m.grain)
+        if _counts_ids(m):
+            return F.count(F.when(own, F.lit(1))).alias(name)
+        return AGGREGATES[m.aggregate](F.col(f"value_of_{name}")).alias(name)
+
+    return per_id.groupBy(*dims).agg(*[measure(name, m) for name, m in measures.items()])
 
 
 def metric_query(
@@ -273,15 +294,17 @@ def metric_query(
     names = [resolve(view, m, "metric") for m in metrics]
     rows = mart if where is None else mart.filter(where)
     if guard_fanout:
-        # Every part has one row per group, so stacking the parts and taking
-        # the only value per group lines them up without a join. The first
-        # part keeps groups that have no id for some metric.
-        parts = [rows.select(*dims).distinct()] if dims else []
-        for grain in dict.fromkeys(view.metrics[n].grain for n in names):
-            same = {n: view.metrics[n] for n in names if view.metrics[n].grain == grain}
-            parts.append(_once_per_id(rows, grain, same, dims))
-        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        result = stacked.groupBy(*dims).agg(*[_only_value(view.metrics[n], n) for n in names])
+        # Metrics without a grain have nothing to guard.
+        plain = [n for n in names if not view.metrics[n].grain]
+        guarded = {n: view.metrics[n] for n in names if view.metrics[n].grain}
+        parts = [_once_per_id(rows, guarded, dims)] if guarded else []
+        if plain:
+            parts.append(rows.groupBy(*dims).agg(*[_measure(view.metrics[n], n) for n in plain]))
+        # Every part has one row per group: the only value per group lines them up.
+        result = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(parts) > 1:
+            result = result.groupBy(*dims).agg(*[_only_value(view.metrics[n], n) for n in names])
+        result = result.select(*dims, *names)
     else:
         result = rows.groupBy(*dims).agg(*[_measure(view.metrics[n], n) for n in names])
     if order_by:
