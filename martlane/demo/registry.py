@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -20,6 +20,7 @@ from martlane.operators import checks, policies
 from martlane.operators.flatten import flatten, object_size
 from martlane.operators.latest import latest_per_key
 from martlane.plans import metrics, reports
+from martlane.plans.build import DOMAIN_MARTS, ENTERPRISE_MARTS
 from martlane.plans.feeds import mart_weather_station_catalog
 from martlane.sources.schemas import CHECKS, SEEDS, TableChecks
 from martlane.sources.tables import row_count
@@ -499,6 +500,27 @@ add(
     lambda d: _round_average(reports.routes_by_revenue(d.routes)),
     f"SELECT {shown(ROUTES)}, {ORDER_VALUE} AS avg_order_value_chf FROM routes",
 )
+add(
+    "routes_ranked",
+    lambda d: reports.routes_ranked(d.routes),
+    """SELECT origin_warehouse, destination_city, total_revenue_chf::DOUBLE AS total_revenue_chf,
+         rank() OVER (ORDER BY total_revenue_chf DESC NULLS FIRST) AS rank FROM routes""",
+)
+add(
+    "orders_ranked_by_lines",
+    lambda d: reports.orders_ranked_by_lines(d.orders),
+    """SELECT order_id, line_item_count,
+         rank() OVER (ORDER BY line_item_count DESC NULLS FIRST) AS rank,
+         row_number() OVER (ORDER BY line_item_count DESC NULLS FIRST, order_id) AS place
+       FROM order_totals""",
+)
+add(
+    "products_ranked_by_duty",
+    lambda d: reports.products_ranked_by_duty(d.products),
+    """SELECT product_id, tariff_id, category, duty_rate_pct::DOUBLE AS duty_rate_pct,
+         dense_rank() OVER (ORDER BY duty_rate_pct DESC NULLS FIRST, category NULLS LAST) AS rank
+       FROM products""",
+)
 add(
     "revenue_vs_delivery_time",
     lambda d: reports.revenue_against_delivery_time(d.routes),
@@ -574,10 +596,10 @@ add(
 )
 
 
-def _usage(d: Standins) -> DataFrame:
+def _usage(d: Standins, **options) -> DataFrame:
     events = d.source("events").withColumn("value", F.col("value").cast("decimal(18,2)"))
     newest = d.source("events").agg(F.max("ts").alias("ts")).scalar()
-    return reports.usage_last_days(events, "event_type", "ts", "value", newest)
+    return reports.usage_last_days(events, "event_type", "ts", "value", newest, **options)
 
 
 add(
@@ -587,6 +609,14 @@ add(
        WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY event_type""",
 )
 
+add(
+    "usage_by_prefix",
+    lambda d: _usage(d, prefix="s", days=30),
+    """SELECT event_type, sum(value::DECIMAL(18,2))::DOUBLE AS used FROM events
+       WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 30 DAY AND event_type LIKE 's%'
+       GROUP BY event_type""",
+)
+
 # Metric layer -------------------------------------------------------------
 
 add(
@@ -876,6 +906,12 @@ def _orphans(table: str, column: str, parent: str) -> str:
     return _check_sql(table, "relationships", column, query)
 
 
+def _outside(table: str, column: str, values: Sequence[str]) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    query = f"SELECT count(*) FROM {table} WHERE {column}::VARCHAR NOT IN ({listed})"
+    return _check_sql(table, "accepted_values", column, query)
+
+
 add(
     "dq_report",
     _dq_report,
@@ -888,7 +924,7 @@ add(
             _orphans("order_line_item", "order_id", "order_header"),
             _nulls("tracking_event", "event_id"),
             _nulls("tracking_event", "shipment_id"),
-            _check_sql("tracking_event", "accepted_values", "event_type", "SELECT 0"),
+            _outside("tracking_event", "event_type", CHECKS["stg_tracking_event"].accepted["event_type"]),
             _repeats("tracking_event", "event_id"),
             _orphans("tracking_event", "shipment_id", "shipment"),
         ]
@@ -910,10 +946,7 @@ def _dq_staging(d: Standins) -> DataFrame:
 def _declared_sql(name: str) -> list[str]:
     table, spec = name.removeprefix("stg_"), CHECKS[name]
     found = [_nulls(table, c) for c in (*spec.key, *spec.required)]
-    for column, values in spec.accepted.items():
-        listed = ", ".join(f"'{v}'" for v in values)
-        other = f"SELECT count(*) FROM {table} WHERE {column}::VARCHAR NOT IN ({listed})"
-        found.append(_check_sql(table, "accepted_values", column, other))
+    found += [_outside(table, column, values) for column, values in spec.accepted.items()]
     found += [_repeats(table, c) for c in spec.key]
     for column, (parent, parent_column) in spec.refs.items():
         parent = parent.removeprefix("stg_")
@@ -931,6 +964,86 @@ add(
     "\nUNION ALL ".join(query for name in STAGED for query in _declared_sql(name)),
 )
 
+# All declared checks of the marts, by the frame and sub-query that a mart has here.
+MART_FRAMES = {name: source for name, (source, _) in MARTS.items()} | {
+    "customer_overview": "customer_360",
+    "revenue_by_route": "routes",
+}
+MART_CHECKS = [name for name in CHECKS if name in MART_FRAMES]
+
+
+def _dq_marts(d: Standins) -> DataFrame:
+    reports_of = []
+    for name in MART_CHECKS:
+        source = MART_FRAMES[name]
+        frame = getattr(d, FRAMES.get(source, source))
+        reports_of.append(checks.run_checks(frame, name, CHECKS[name], lambda parent: None))
+    return reduce(DataFrame.unionByName, reports_of)
+
+
+def _mart_sql(name: str) -> list[str]:
+    source, spec = MART_FRAMES[name], CHECKS[name]
+    table = SUBQUERIES.get(source, source)
+    found = [_nulls(table, c) for c in (*spec.key, *spec.required)]
+    found += [_outside(table, column, values) for column, values in spec.accepted.items()]
+    found += [
+        _check_sql(table, "unique", c, f"SELECT count(*) FROM (SELECT {c} FROM {table} "
+                   f"WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+        for c in spec.key
+    ]
+    return [query.replace(f"'stg_{table}' AS", f"'{name}' AS", 1) for query in found]
+
+
+add(
+    "dq_report_marts",
+    _dq_marts,
+    "\nUNION ALL ".join(query for name in MART_CHECKS for query in _mart_sql(name)),
+)
+
+# Tables -------------------------------------------------------------------
+
+for _table in ("order_header", "payment", "business_customer"):
+    add(
+        f"csv_stg_{_table}",
+        lambda d, t=_table: d.built()[1][f"stg_{t}"],
+        f"SELECT {shown(seed_spec(_table))} FROM {_table}",
+    )
+
+add(
+    "table_revenue_by_route",
+    lambda d: _round_average(d.built()[0].read("mart", "revenue_analytics", "revenue_by_route")),
+    f"SELECT {shown(ROUTES)}, {ORDER_VALUE} AS avg_order_value_chf FROM routes",
+)
+add(
+    "table_transaction_report",
+    lambda d: d.built()[0].read("mart", "compliance", "transaction_report"),
+    f"SELECT {shown(MARTS['transaction_report'][1])} FROM report",
+)
+
+BUILT = {**{name: product for name, (product, _, _) in DOMAIN_MARTS.items()},
+         **{name: product for name, (product, _, _) in ENTERPRISE_MARTS.items()}}
+
+
+def _inventory(d: Standins) -> DataFrame:
+    catalog = d.built()[0]
+    found = catalog.inventory().filter(F.col("schema_name").endswith(catalog.suffix))
+    found = found.filter(~F.col("table_name").rlike("_(heavy|summary)_"))
+    schema = F.regexp_replace("schema_name", f"{catalog.suffix}$", "")
+    return found.select(
+        schema.alias("schema_name"), "table_name", "row_count", (F.col("file_bytes") > 0).alias("stored")
+    )
+
+
+add(
+    "mart_inventory",
+    _inventory,
+    "\nUNION ALL ".join(
+        f"SELECT 'mart_{product}' AS schema_name, '{name}' AS table_name, count(*) AS row_count, true AS stored "
+        f"FROM {MART_FRAMES[name]}"
+        for name, product in BUILT.items()
+    ),
+)
+
 # Ingest and streams -------------------------------------------------------
 
 add(
@@ -1058,3 +1171,23 @@ add(
          arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value
        FROM events GROUP BY user_id""",
 )
+add(
+    "feed_exchange_rates",
+    streams.exchange_rates,
+    "SELECT o_orderkey || ';' || o_orderstatus AS line FROM orders",
+)
+add(
+    "feed_foreign_trade",
+    streams.foreign_trade,
+    "SELECT p_partkey || ';' || p_name AS line FROM part",
+)
+add(
+    "feed_traffic_counts",
+    streams.traffic_counts,
+    "SELECT s_nationkey::VARCHAR AS raw_key, s_suppkey AS key, s_name AS name FROM supplier",
+)
+add(
+    "feed_postcodes",
+    streams.postcodes,
+    "SELECT (c_custkey // 1000)::VARCHAR AS raw_key, c_custkey AS key, c_name AS name FROM customer",
+)

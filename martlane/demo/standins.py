@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 from martlane.operators.heavy import heavy_keys, summarize
 from martlane.operators.joins import HOT_ROWS
 from martlane.plans import enterprise, feeds, logistics, payments, staging
-from martlane.session import stored, tune
+from martlane.plans.build import build_all
+from martlane.session import stored, tune, work_folder
+from martlane.sources.schemas import SEEDS
+from martlane.sources.seeds import seed_columns
+from martlane.sources.tables import Catalog
 
 
 def _case(column: str, mapping: dict[str, str], other: str) -> str:
@@ -104,6 +108,10 @@ REFUND_STATUS = _case(
 _HEAVY: dict[tuple[str, ...], DataFrame] = {}
 
 
+# Tables built from CSV seeds, by session and folder.
+_BUILT: dict[tuple[str, ...], tuple[Catalog, dict[str, DataFrame]]] = {}
+
+
 class Standins:
     """Raw stand-ins, staging and marts over one data folder, built on demand."""
 
@@ -470,6 +478,20 @@ class Standins:
             self._stages[table] = staging.stage(maker(), table)
         return self._stages[table]
 
+    def built(self) -> tuple[Catalog, dict[str, DataFrame]]:
+        """The stand-ins as CSV seed files, and all tables built from these; once for a session."""
+        name = (self.spark.sparkContext.applicationId, self.folder)
+        if name not in _BUILT:
+            folder = work_folder(self.spark, "tables")
+            for table in SEEDS:
+                maker: Callable[[], DataFrame] = getattr(self, f"raw_{table}")
+                texts = maker().selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c, _ in seed_columns(table)])
+                csv = texts.write.option("header", True).option("escape", '"')
+                csv.csv(f"{folder}/seeds/{table}.csv")
+            catalog = Catalog(self.spark, f"_{folder[-12:]}", folder)
+            _BUILT[name] = catalog, build_all(catalog, f"{folder}/seeds")
+        return _BUILT[name]
+
     @cached_property
     def connections(self) -> DataFrame:
         return staging.stg_transport_connections(self.as_raw(self.connection_payloads()))

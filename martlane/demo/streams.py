@@ -311,3 +311,55 @@ def upserted_latest(d: Standins) -> DataFrame:
     query.awaitTermination()
     schema = "user_id bigint, ts timestamp_ntz, event_id bigint, value double"
     return read_upserted(d.spark, f"{folder}/latest", schema)
+
+
+LINES_OF_BODY = 1000  # lines or entries of a landed body at most
+
+
+def _text_bodies(d: Standins, feed: str, source: str, header: str, key: str, value: str) -> DataFrame:
+    """Lines under a header, in files of up to LINES_OF_BODY, ingested whole; the lines again."""
+    rows = d.source(source).selectExpr(f"concat_ws(';', {key}, {value}) AS line", f"{key} AS id")
+    bodies = rows.groupBy(F.floor(F.col("id") / LINES_OF_BODY)).agg(F.collect_list("line").alias("lines"))
+    text = F.concat(F.lit(f"{header}\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    folder = work_folder(d.spark, "text-bodies")
+    bodies.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/landing")
+    raw = read_raw(d.spark, _ingested(d, folder, FEEDS[feed]))
+    each = F.split(path("RAW", "$", "string"), "\n")
+    lines = drop_header(raw.select(F.explode(each).alias("value")), header).filter("value <> ''")
+    return lines.select(F.col("value").alias("line"))
+
+
+def exchange_rates(d: Standins) -> DataFrame:
+    return _text_bodies(d, "ecb_exchange_rates", "orders", "order;status", "o_orderkey", "o_orderstatus")
+
+
+def foreign_trade(d: Standins) -> DataFrame:
+    return _text_bodies(d, "bazg_foreign_trade", "part", "part;name", "p_partkey", "p_name")
+
+
+def _directory(d: Standins, feed: str, source: str, group: str, entry: str) -> DataFrame:
+    """Entries in pretty-printed bodies with an id of their own, each body landed twice and kept once."""
+    rows = d.source(source).selectExpr(f"CAST({group} AS STRING) AS id", f"{entry} AS entry")
+    joined = F.array_join(F.sort_array(F.collect_list("entry")), ",\n    ")
+    body = F.concat(F.lit('{\n  "id": "'), "id", F.lit('",\n  "entries": [\n    '), joined, F.lit("\n  ]\n}"))
+    bodies = rows.groupBy("id").agg(body.alias("value")).select("value")
+    folder = work_folder(d.spark, "directory")
+    for _ in range(2):
+        bodies.write.mode("append").option("maxRecordsPerFile", 1).text(f"{folder}/landing")
+    raw = read_raw(d.spark, _ingested(d, folder, FEEDS[feed], dedupe=True))
+    entries = raw.select(
+        "raw_key", F.explode(F.variant_get("RAW", "$.entries", "array<variant>")).alias("e")
+    )
+    return entries.select(
+        "raw_key", path("e", "$.key", "bigint").alias("key"), path("e", "$.name", "string").alias("name")
+    )
+
+
+def traffic_counts(d: Standins) -> DataFrame:
+    entry = "to_json(named_struct('key', s_suppkey, 'name', s_name))"
+    return _directory(d, "astra_traffic_counts", "supplier", "s_nationkey", entry)
+
+
+def postcodes(d: Standins) -> DataFrame:
+    entry = "to_json(named_struct('key', c_custkey, 'name', c_name))"
+    return _directory(d, "swiss_plz_directory", "customer", "floor(c_custkey / 1000)", entry)

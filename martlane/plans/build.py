@@ -82,6 +82,15 @@ ENTERPRISE_MARTS: dict[str, tuple[str, tuple[str, ...], Callable[..., DataFrame]
     ),
 }
 
+# Keys that enterprise marts join domain marts on, where a key can repeat: mart, key, and the
+# name under which the builders take the list of heavy keys.
+HEAVY = {
+    "mart_shipment_tracking": ("order_id", "shipments"),
+    "mart_transaction_summary": ("order_id", "transactions"),
+    "mart_merchant_overview": ("customer_id", "merchants"),
+    "mart_customer_overview": ("customer_id", "customers"),
+}
+
 # Feed marts: raw feeds with their product, staging, mart and its product.
 FEED_STAGING = {
     "transport_connections": ("stg_transport_connections", staging.stg_transport_connections),
@@ -106,19 +115,29 @@ def staged(catalog: Catalog) -> dict[str, DataFrame]:
 
 
 def build_domain(catalog: Catalog, stages: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Domain marts as tables, read back."""
-    return {
+    """Domain marts as tables, read back, with the heavy keys of those that are joined on one."""
+    marts = {
         name: catalog.write(builder(*[stages[i] for i in inputs]), "mart", product, name)
         for name, (product, inputs, builder) in DOMAIN_MARTS.items()
     }
+    for name, (key, _) in HEAVY.items():
+        catalog.write_heavy("mart", DOMAIN_MARTS[name][0], name, key)
+    return marts
 
 
 def build_enterprise(catalog: Catalog, marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Enterprise marts as tables, read from the tables of the domain marts."""
-    return {
-        name: catalog.write(builder(*[marts[i] for i in inputs]), "mart", product, name)
-        for name, (product, inputs, builder) in ENTERPRISE_MARTS.items()
-    }
+    """Enterprise marts as tables, read from the tables of the domain marts and their heavy keys."""
+    heavy = {}
+    for name, (key, part) in HEAVY.items():
+        found = catalog.heavy("mart", DOMAIN_MARTS[name][0], name, key)
+        if found is not None:
+            heavy[part] = found
+    built = {}
+    for name, (product, inputs, builder) in ENTERPRISE_MARTS.items():
+        options = {} if builder is enterprise.revenue_by_route else {"heavy": heavy}
+        df = builder(*[marts[i] for i in inputs], **options)
+        built[name] = catalog.write(df, "mart", product, name)
+    return built
 
 
 def build_feeds(catalog: Catalog, raw: Mapping[str, DataFrame], latest_only: bool = False) -> dict[str, DataFrame]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martlane.functions.dates import since_days
 from martlane.functions.money import percent_share
+from martlane.operators.rank import ranked
 from martlane.operators.aggregates import count_true, top_k, value_counts
 
 
@@ -200,6 +201,26 @@ def routes_by_revenue(routes: DataFrame) -> DataFrame:
     return routes.orderBy(_down("total_revenue_chf"), _up("origin_warehouse"), _up("destination_city"))
 
 
+def routes_ranked(routes: DataFrame) -> DataFrame:
+    """Routes with their rank by revenue; unknown revenue comes first, equal ones share a rank."""
+    by = {"total_revenue_chf": _down("total_revenue_chf")}
+    return ranked(routes.select("origin_warehouse", "destination_city", "total_revenue_chf"), by)
+
+
+def orders_ranked_by_lines(orders: DataFrame) -> DataFrame:
+    """All orders by number of lines: the rank that equal ones share, and a place of their own."""
+    lines = orders.select("order_id", "line_item_count")
+    by = {"line_item_count": _down("line_item_count")}
+    return ranked(ranked(lines, by), by, "place", tiebreak=[_up("order_id")])
+
+
+def products_ranked_by_duty(products: DataFrame) -> DataFrame:
+    """Products and tariffs by duty within a dense rank; those without a tariff come first."""
+    duty = products.select("product_id", "tariff_id", "category", "duty_rate_pct")
+    by = {"duty_rate_pct": _down("duty_rate_pct"), "category": _up("category")}
+    return ranked(duty, by, dense=True)
+
+
 def revenue_against_delivery_time(routes: DataFrame) -> DataFrame:
     return routes.select("destination_city", "avg_delivery_days", "total_revenue_chf", "total_shipments")
 

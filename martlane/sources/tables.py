@@ -5,21 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INVENTORY_SCHEMA = "schema_name string, table_name string, row_count bigint"
+from martlane.operators.heavy import heavy_keys, summarize
+
+INVENTORY_SCHEMA = "schema_name string, table_name string, row_count bigint, file_bytes bigint"
 
 
 @dataclass(frozen=True)
 class Catalog:
     """Names tables ``<layer>_<product><suffix>.<table>`` in the session catalog.
 
-    ``suffix`` separates environments, for example ``_dev`` or ``_pr12``.
+    ``suffix`` separates environments, for example ``_dev`` or ``_pr12``. ``location`` is a
+    folder for new schemas; without it they lie in the session's warehouse.
     """
 
     spark: SparkSession
     suffix: str = ""
+    location: str | None = None
 
     def schema(self, layer: str, product: str) -> str:
         return f"{layer}_{product}{self.suffix}".lower()
@@ -45,7 +49,9 @@ class Catalog:
         The table on storage also cuts the lineage: later marts read it
         instead of computing it again, and a lost executor costs only a scan.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.schema(layer, product)}")
+        schema = self.schema(layer, product)
+        place = f" LOCATION '{self.location}/{schema}.db'" if self.location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}{place}")
         full_name = self.name(layer, product, table)
         documented = with_comments(df, column_comments or {})
         if partition_by:
@@ -66,28 +72,73 @@ class Catalog:
         df.createOrReplaceTempView(name)
         return df
 
-    def inventory(self, prefix: str = "mart") -> DataFrame:
-        """Tables of all schemas whose name starts with ``prefix``, with row counts.
+    def heavy(self, layer: str, product: str, table: str, key: str) -> DataFrame | None:
+        """The stored list of a table's heavy keys, if it was written with one."""
+        name = self.name(layer, product, f"{table}_heavy_{key}")
+        return self.spark.table(name) if self.spark.catalog.tableExists(name) else None
 
-        Names come from the catalog; each count is its own aggregate, so the
-        driver sees one number per table.
-        """
-        counts = None
+    def write_heavy(self, layer: str, product: str, table: str, key: str) -> DataFrame:
+        """Summarize a written table's key column, and store the keys that are heavy."""
+        rows = self.read(layer, product, table)
+        summary = self.write(summarize(rows, key), layer, product, f"{table}_summary_{key}")
+        return self.write(heavy_keys(rows, key, summary), layer, product, f"{table}_heavy_{key}")
+
+    def tables(self, prefix: str = "mart") -> list[tuple[str, str, str]]:
+        """(schema, table, location) of the stored tables whose schema starts with ``prefix``."""
+        found = []
         for db in self.spark.catalog.listDatabases():
             if not db.name.startswith(prefix):
                 continue
             for table in self.spark.catalog.listTables(db.name):
-                if table.isTemporary:
+                if table.isTemporary or table.tableType == "VIEW":
                     continue
-                one = row_count(self.spark.table(f"{db.name}.{table.name}")).select(
-                    F.lit(db.name).alias("schema_name"),
-                    F.lit(table.name).alias("table_name"),
-                    "row_count",
-                )
-                counts = one if counts is None else counts.unionByName(one)
-        if counts is None:
+                about = self.spark.sql(f"DESCRIBE EXTENDED {db.name}.{table.name}")
+                place = about.filter("col_name = 'Location'").select("data_type").first()
+                found.append((db.name, table.name, place[0]))
+        return found
+
+    def inventory(self, prefix: str = "mart") -> DataFrame:
+        """Tables of all schemas whose name starts with ``prefix``, with their rows and bytes.
+
+        One scan over the files of all tables, without a column: so tasks read nothing but
+        the row counts in the files' footers, and the plan is the same for any number of
+        tables.
+        """
+        named = self.tables(prefix)
+        if not named:
             return self.spark.createDataFrame([], INVENTORY_SCHEMA)
-        return counts.orderBy("schema_name", "table_name")
+        listed = self.spark.createDataFrame(named, "schema_name string, table_name string, place string")
+        counted = file_counts(self.spark, [place for _, _, place in named])
+        # Every folder that a file lies in.
+        folders = "transform(sequence(1, size(split(file_path, '/'))), i -> substring_index(file_path, '/', i))"
+        inside = counted.withColumn("folder", F.explode(F.expr(folders)))
+        tables = listed.withColumn("folder", _plain_path(F.col("place")))
+        return (
+            tables.join(inside, "folder", "left")
+            .groupBy("schema_name", "table_name")
+            .agg(
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+                F.coalesce(F.sum("bytes"), F.lit(0)).alias("file_bytes"),
+            )
+            .orderBy("schema_name", "table_name")
+        )
+
+
+def _plain_path(path: Column) -> Column:
+    """A path whose scheme is followed by one slash, and that ends in none."""
+    return F.rtrim(F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/"), F.lit("/"))
+
+
+def file_counts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """file_path, rows and bytes of every Parquet file below the folders."""
+    # No file has the column: only footers are read.
+    files = spark.read.schema("no_column boolean").option("recursiveFileLookup", True)
+    return (
+        files.parquet(*folders)
+        .select(_plain_path(F.col("_metadata.file_path")).alias("file_path"), "_metadata.file_size")
+        .groupBy("file_path")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes"))
+    )
 
 
 def with_comments(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
