@@ -18,8 +18,9 @@ The usual distance is that of the k-th neighbour among all rows, measured exactl
 for a bounded sample of the queries.
 
 Defined results: vectors that are null, zero or hold null or non-finite components
-take no part, as query or as candidate; rows with equal vec_id are candidates each
-for itself, a query is not its own candidate by id; ties go to the smaller vec_id;
+take no part, as query or as candidate, nor do vectors of another length than most;
+rows with equal vec_id are candidates each for itself, and as queries one query; a
+query is not its own candidate by id; ties go to the smaller vec_id;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -115,7 +116,7 @@ class Cells:
         return found
 
 
-def _best(q, q_ids, x, x_ids, k: int, candidate: np.ndarray | bool = True) -> pd.DataFrame:
+def _best(q, q_ids, x, x_ids, x_rows, k: int, candidate: np.ndarray | bool = True) -> pd.DataFrame:
     """Each query's k best candidate rows of x; the final products do not depend on a row's place."""
     near = np.where(candidate & (q_ids[:, None] != x_ids), q @ x.T, -np.inf)
     if len(x_ids) > k:
@@ -126,16 +127,26 @@ def _best(q, q_ids, x, x_ids, k: int, candidate: np.ndarray | bool = True) -> pd
         kept = np.ones(near.shape, bool)
     rows, columns = np.nonzero(kept & np.isfinite(near))
     scores = (q[rows] * x[columns]).sum(1)
-    out = pd.DataFrame({"query_id": q_ids[rows], "vec_id": x_ids[columns], "score": scores})
+    out = pd.DataFrame(
+        {
+            **{"query_id": q_ids[rows], "row": x_rows[columns]},
+            **{"vec_id": x_ids[columns], "score": scores},
+        }
+    )
     out = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    out = out.drop_duplicates(["query_id", "row"])
     return out.groupby("query_id", sort=False).head(k)
 
 
-BEST = "query_id long, vec_id long, score double"
-COLUMNS = ["grp", "role", "vec_id", "embedding", "portions"]
+BEST = "query_id long, row long, vec_id long, score double"
+COLUMNS = ["grp", "role", "vec_id", "embedding", "portions", "row"]
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
+    # A row may be found in several tables, and by query rows of one id.
+    found = found.groupBy("query_id", "row").agg(
+        F.max("vec_id").alias("vec_id"), F.max("score").alias("score")
+    )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
@@ -152,14 +163,17 @@ def exact(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(q_ids) and len(batch):
-                yield _best(q, q_ids, matrix(batch["embedding"]), batch["vec_id"].to_numpy(), k)
+                x = matrix(batch["embedding"])
+                x_ids, x_rows = batch["vec_id"].to_numpy(), batch["row"].to_numpy()
+                yield _best(q, q_ids, x, x_ids, x_rows, k)
 
-    return _ranked(rows.select("vec_id", "embedding").mapInPandas(best, BEST), k)
+    return _ranked(rows.select("vec_id", "embedding", "row").mapInPandas(best, BEST), k)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows found for each query."""
-    rows = written(usable(vectors), "ann-vectors")
+    numbered = usable(vectors).withColumn("row", F.monotonically_increasing_id())
+    rows = written(numbered, "ann-vectors")
     asked = written(usable(queries), "ann-queries")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
     shape = rows.agg(F.max(norm).alias("norm"), F.max(F.size("embedding")).alias("dims")).first()
@@ -186,12 +200,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         tables.append(Cells(table, own["cell"].to_numpy(), own["count"].to_numpy(), groups))
         groups = int(tables[-1].group[-1]) + 1
 
-    schema = "grp long, role int, vec_id long, embedding array<double>, portions array<long>"
+    schema = "grp long, role int, vec_id long, embedding array<double>, portions array<long>, row long"
 
     def stored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for own, cells in zip(tables, hashes.cells(matrix(batch["embedding"])), strict=True):
-                at = own.portion_of(cells, batch["vec_id"].to_numpy())
+                at = own.portion_of(cells, batch["row"].to_numpy())
                 yield batch.assign(grp=own.group[at], role=0, portions=[[x] for x in at])[COLUMNS]
 
     def asking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,11 +218,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     batch["vec_id"], batch["embedding"], visits, strict=True
                 ):
                     of = own.group[to]
-                    sent += [(g, 1, vec_id, vector, to[of == g]) for g in np.unique(of)]
+                    sent += [(g, 1, vec_id, vector, to[of == g], 0) for g in np.unique(of)]
                 yield pd.DataFrame(sent, columns=COLUMNS)
 
     def met(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, role, held, x, x_ids, at = None, None, [], None, None, None
+        now, role, held, x, x_ids, x_rows, at = None, None, [], None, None, None, None
         best = []
 
         def asked_of(chunk: list) -> pd.DataFrame:
@@ -218,7 +232,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             visits = np.zeros((len(chunk), int(at.max()) + 1), bool)
             for i, r in enumerate(chunk):
                 visits[i, r[4][r[4] <= at.max()]] = True
-            return _best(q, q_ids, x, x_ids, k, visits[:, at])
+            return _best(q, q_ids, x, x_ids, x_rows, k, visits[:, at])
 
         for batch in batches:
             for r in batch[COLUMNS].itertuples(index=False, name=None):
@@ -228,6 +242,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     elif role == 0 and held and r[0] == now:
                         x = np.stack([y[3] for y in held]).astype(np.float64)
                         x_ids = np.array([y[2] for y in held])
+                        x_rows = np.array([y[5] for y in held])
                         at = np.array([y[4][0] for y in held])
                     if r[0] != now:
                         x = None
@@ -248,6 +263,5 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         sent.repartition(max(parts(spark), groups), "grp")
         .sortWithinPartitions("grp", "role")
         .mapInPandas(met, BEST)
-        .distinct()
     )
     return _ranked(found, k)

@@ -14,15 +14,17 @@ The base phrases are looked for separately, all their places count, and their
 labels always stay.
 
 Defined results: a null or empty text has no words, no labels (empty strings),
-null places and score 0; rows with equal doc_id are scanned each for itself; an
-empty table gives an empty result; other columns are ignored.
+null places and score 0; rows with equal doc_id are scanned each for itself; a text of
+any length is scanned whole, in time about in proportion to its length; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -159,14 +161,22 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_LOWER_WORDS).split()
 
 
+def _before(line: bytes, starts: list[int]) -> list[int]:
+    """How many spaces come before each place."""
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    return np.searchsorted(spaces, starts).tolist()
+
+
 def _base(line: bytes) -> list[tuple[int, str]]:
     found = []
     for phrase, label in BASE.items():
-        whole = b" " + phrase.encode() + b" "
+        whole, starts = b" " + phrase.encode() + b" ", []
         at = line.find(whole)
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            starts.append(at)
             at = line.find(whole, at + 1)
+        if starts:
+            found += [(first, label) for first in _before(line, starts)]
     return found
 
 
@@ -181,14 +191,32 @@ def detections(line: bytes, all_rules: list) -> list[tuple[int, int, str, float]
             present[keywords] = any(keyword in line for keyword in keywords)
         if not present[keywords]:
             continue
-        for match in pattern.finditer(line):
-            first = line.count(b" ", 0, match.start()) - 1
-            after = first + match[0].count(b" ") + 1
+        met = [(match.start(), match[0].count(b" ")) for match in pattern.finditer(line)]
+        if not met:
+            continue
+        # The words before a match, from the places of all spaces.
+        for before, (_, size) in zip(_before(line, [at for at, _ in met]), met, strict=True):
+            first, after = before - 1, before + size
             found.append((-priority, first - after, first, after, label, weight))
+    return _outermost(sorted(found))
+
+
+def _outermost(found: list[tuple]) -> list[tuple[int, int, str, float]]:
+    """The intervals that none before them contains.
+
+    Of those kept, only intervals that none of the others contains are looked at: sorted by
+    their begin they are sorted by their end, so the last one that begins in time decides.
+    """
     kept: list[tuple[int, int, str, float]] = []
-    for _, _, first, after, label, weight in sorted(found):
-        if not any(a <= first and after <= b for a, b, _, _ in kept):
-            kept.append((first, after, label, weight))
+    begins: list[int] = []
+    ends: list[int] = []
+    for _, _, first, after, label, weight in found:
+        at = bisect_right(begins, first)
+        if at and ends[at - 1] >= after:
+            continue
+        kept.append((first, after, label, weight))
+        low, high = bisect_left(begins, first), bisect_right(ends, after)
+        begins[low:high], ends[low:high] = [first], [after]
     return kept
 
 

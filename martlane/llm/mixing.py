@@ -219,18 +219,21 @@ def take(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     decided = mixed.groupBy(*key).agg(
         F.sum("copies").cast("int").alias("copies"), F.count(F.lit(1)).alias("rows")
     )
-    marked = docs.withColumn("print", F.xxhash64("text"))
-    joined = marked.alias("d").join(
-        decided.filter("copies > 0").alias("c"),
-        [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key],
+    # The row is one column, so that no name of its own meets one of these.
+    marked = docs.select(F.struct("*").alias("row"), "doc_id", "source", F.xxhash64("text").alias("print"))
+    joined = (
+        marked.alias("d")
+        .join(
+            decided.filter("copies > 0").alias("c"),
+            [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key],
+        )
+        .select("d.*", "copies", "rows")
     )
-    own = [F.col(f"d.{c}") for c in docs.columns]
-    alone = joined.filter("rows = 1").select(*own, "copies")
+    alone = joined.filter("rows = 1")
     # Equal rows are decided together: one of them is taken as often as all of them.
-    equal = joined.filter("rows > 1").select(*own, "d.print", "copies")
-    equal = equal.dropDuplicates(key).drop("print")
+    equal = joined.filter("rows > 1").dropDuplicates(key)
     return (
         alone.unionAll(equal)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*docs.columns)
+        .select("row.*")
     )

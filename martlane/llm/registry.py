@@ -26,6 +26,11 @@ from martlane.llm.common import table
 from martlane.session import work_folder
 
 
+def _in_front(found: DataFrame, *asked: str) -> DataFrame:
+    """The asked columns, then the operator's own."""
+    return found.select(*asked, *[c for c in found.columns if c not in asked])
+
+
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -37,7 +42,8 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return _in_front(found, "vec_id", "n_links", "component_id", "kept")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +55,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents"), size=3, percent=90)
+    found = jaccard.join(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return _in_front(found, "doc_id", "n_shingles", "component_id")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +71,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source", "source_size", "target", "copies", "taken")
+    mixed = mixed.drop("print")
+    return _in_front(mixed, "doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:

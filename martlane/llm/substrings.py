@@ -560,11 +560,13 @@ def removed(docs: DataFrame) -> DataFrame:
     new = touched.mapInPandas(rows, "doc_id long, print long, text string").dropDuplicates(
         ["doc_id", "print"]
     )
-    marked = docs.withColumn("print", F.xxhash64("text"))
+    # The row is one column, so that no name of its own meets one of these.
+    marked = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("print"))
     others = matching(marked, side(ids), ["doc_id"], "left_anti")
+    size = F.char_length("text").cast("long")
     changed = (
-        matching(marked, side(ids), ["doc_id"], "left_semi").drop("text", "n_chars")
+        matching(marked, side(ids), ["doc_id"], "left_semi")
         .join(new, ["doc_id", "print"])
-        .withColumn("n_chars", F.char_length("text").cast("long"))
-    )
-    return others.select(*docs.columns).unionAll(changed.select(*docs.columns))
+        .select(F.col("row").withField("text", F.col("text")).withField("n_chars", size).alias("row"))
+    )
+    return others.select("row").unionAll(changed).select("row.*")

@@ -4,7 +4,8 @@ Both vocabularies split a text at white space before anything else, so a text's
 ids are its chunks' ids in a row. Chunks repeat, texts do not: each task asks the
 library once per new chunk and joins the known ones. The chunk store is bounded;
 when it is full, further new chunks are encoded without being kept. The ids are
-those of encoding the whole text at once, whatever the store holds.
+those of encoding the whole text at once, whatever the store holds. The library cuts a
+text at its special tokens before anything else; a text that holds one is encoded whole.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections import ChainMap
 from collections.abc import Iterable, Iterator
 
 import public_tokenizers
@@ -50,7 +50,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(content)
-        self.library.encode_special_tokens = True
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.byte_level = '"use_regex":true' in re.sub(r"\s", "", content[:4000])
         self.known: dict[str, bytes] = {}
 
@@ -66,6 +66,11 @@ class Encoder:
         run: list[list[str]] = []
         size = 0
         for text in texts:
+            if self._marked(text):
+                yield from self._joined(run)
+                run, size = [], 0
+                yield self._asked([text])[0]
+                continue
             run.append(self._chunks(text))
             size += len(text)
             if size >= RUN:
@@ -73,28 +78,45 @@ class Encoder:
                 run, size = [], 0
         yield from self._joined(run)
 
+    def _marked(self, text: str) -> bool:
+        """Whether the text, or what its chunks are made of, holds a special token."""
+        lower = text.lower()
+        return any(mark in text or mark in lower for mark in self.special)
+
+    def _asked(self, texts: list[str]) -> list[bytes]:
+        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in encoded]
+
     def _joined(self, run: list[list[str]]) -> Iterator[bytes]:
-        known = self.known
-        found = [list(map(known.get, chunks)) for chunks in run]
-        new: dict[str, bytes] = {}
+        get = self.known.get
+        found = [list(map(get, chunks)) for chunks in run]
+        missed = set()
         for chunks, ids in zip(run, found, strict=True):
             if None in ids:
-                new.update((c, b"") for c, x in zip(chunks, ids, strict=True) if x is None)
-        if new:
-            # A word before a comma or full stop is a chunk of its own, most often a known one.
-            ended = [c for c in new if c[-1:] in _ENDS and c[c[0] == " " : -1].isalpha()]
-            ask = set(new).difference(ended).union(x for c in ended for x in (c[:-1], c[-1]))
-            ask = list(ask.difference(known))
-            encoded = self.library.encode_batch_fast(ask, add_special_tokens=False)
-            new = dict(zip(ask, [array("I", x.ids).tobytes() for x in encoded], strict=True))
-            ids_of = ChainMap(new, known)
-            new.update([(c, ids_of[c[:-1]] + ids_of[c[-1]]) for c in ended])
+                missed.update([c for c, x in zip(chunks, ids, strict=True) if x is None])
+        new = self._new(missed) if missed else {}
         for chunks, ids in zip(run, found, strict=True):
             if None in ids:
                 ids = [new[c] if x is None else x for c, x in zip(chunks, ids, strict=True)]
             yield b"".join(ids)
+
+    def _new(self, chunks: set[str]) -> dict[str, bytes]:
+        known = self.known
+        # A word before a comma or full stop is a chunk of its own, most often a known one.
+        ended = [c for c in chunks if c[-1:] in _ENDS and c[c[0] == " " : -1].isalpha()]
+        stems = [c[:-1] for c in ended]
+        ask = chunks.difference(ended)
+        ask.update([c for c in stems if c not in known])
+        ask.update([c for c in _ENDS if c not in known])
+        ask = list(ask)
+        new = dict(zip(ask, self._asked(ask), strict=True))
+        for c, stem in zip(ended, stems, strict=True):
+            first = new.get(stem)
+            last = new.get(c[-1]) or known[c[-1]]
+            new[c] = (known[stem] if first is None else first) + last
         if len(known) < CHUNKS_KEPT:
-            known.update((c, x) for c, x in new.items() if len(c) <= LONGEST_KEPT)
+            known.update([(c, x) for c, x in new.items() if len(c) <= LONGEST_KEPT])
+        return new
 
 
 def encoder(content: str) -> Encoder:

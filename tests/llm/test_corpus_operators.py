@@ -265,7 +265,6 @@ def test_mixing(docs, rows, nulls, nothing):
 def test_packing(docs, rows, nulls, nothing):
     content = tokens.public(tokens.BYTE_BPE)
     library = Tokenizer.from_str(content)
-    library.encode_special_tokens = True
     got = packing.pack(docs, content, capacity=128).collect()
     want = {}
     for r in rows:
@@ -295,7 +294,6 @@ def test_token_files(spark, docs, rows, nulls, nothing, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_IDS", 300)
     content = tokens.public(tokens.WORD_BPE)
     library = Tokenizer.from_str(content)
-    library.encode_special_tokens = True
     path = str(tmp_path / "files")
     token_files.write(docs, content, path)
     start, want = 0, []

@@ -89,8 +89,8 @@ def test_flight_keeps_words_and_rows():
 
 WEIRD = [
     "", "  ", " a", "a ", "a  b", "a\n\nb", "a \n b", "　x y", "it's 's  's", "a\x1cb \x1c c",
-    "x ́y", "ΑΣ ΑΣ.", "1 22 333", "<|endoftext|> hi", "İstanbul İ", "H̱ ẖ", "dog, cat.",
-    "a" * 5000, "\x00 \x00",
+    "x ́y", "ΑΣ ΑΣ.", "1 22 333", "<|endoftext|> hi", "a  <|endoftext|> b<|endoftext|>c", "x  <|ENDOFTEXT|>  y", "İstanbul İ", "H̱ ẖ", "dog, cat.",
+    "<|startoftext|>", "a <|startoftext|", "a" * 5000, "\x00 \x00",
 ]
 
 
@@ -98,10 +98,10 @@ WEIRD = [
 def test_ids_are_those_of_the_whole_text(name):
     content = tokens.public(name)
     library = Tokenizer.from_str(content)
-    library.encode_special_tokens = True
     draw = random.Random(1)
     signs = list(" \n\t\r'sabé́.,1  　\x1c\x85ß<|>")
     texts = WEIRD + ["".join(draw.choices(signs, k=draw.randint(0, 14))) for _ in range(3000)]
+    texts += [a + "<|endoftext|>" + b for a, b in zip(texts[30:330], texts[330:630], strict=True)]
     for text, ids in zip(texts, tokens.Encoder(content).ids(texts), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
