@@ -122,7 +122,9 @@ def _bodies(items: DataFrame) -> DataFrame:
         F.lit('{\n  "results": [\n    '), F.array_join(F.collect_list(inner), ",\n    "), F.lit("\n  ]\n}")
     )
     first_event = F.regexp_extract("value", r'"fahrt_bezeichner":"J(-?\d+)"', 1).try_cast("long")
-    return items.groupBy(F.floor(first_event / BODY_EVENTS)).agg(body.alias("value")).select("value")
+    # Payloads without a number are dealt to bodies by their hash.
+    group = F.coalesce(F.floor(first_event / BODY_EVENTS), F.xxhash64("value"))
+    return items.groupBy(group).agg(body.alias("value")).select("value")
 
 
 def multiline_payloads(d: Standins) -> DataFrame:
