@@ -91,6 +91,7 @@ def nulls(spark):
 def test_jaccard(docs, rows, size, percent, frequent, long, block, monkeypatch):
     monkeypatch.setattr(jaccard, "LONG", long)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FIELD_BYTES", 100 * block)
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard, "SEEN", 2)
     monkeypatch.setattr(jaccard, "PORTION", 2)

@@ -143,6 +143,30 @@ def test_near_sets_share_a_key(percent):
         assert len(shared), (trial, n, len(frequent))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_parities_leave_no_near_set_out(percent):
+    """Sets at and around the threshold; parities of any length, folded ones too."""
+    draw = np.random.default_rng(6)
+    kept = 0
+    for trial in range(400):
+        n = int(draw.choice([1, 2, 30, 400, 3_000]))
+        a = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+        share = draw.integers(percent - 12, 101) / 100
+        b = draw.permutation(a)[: max(1, int(np.ceil(len(a) * share)))]
+        b = np.unique(np.concatenate([b, draw.integers(0, 2**63, trial % 3).astype(np.uint64)]))
+        both, n, m = len(np.intersect1d(a, b)), len(a), len(b)
+        words = 1 << int(draw.integers(0, 8))
+        wide = jaccard.parity(a, 2 * words)
+        assert np.array_equal(jaccard.folded(wide, words), jaccard.parity(a, words))
+        differ = np.bitwise_count(jaccard.folded(wide, words) ^ jaccard.parity(b, words)).sum()
+        assert differ <= n + m - 2 * both
+        near = 100 * both >= percent * (n + m - both)
+        may = bool(jaccard.may_be_near(np.array([int(differ)]), np.array([n]), m, percent)[0])
+        assert may or not near
+        kept += may
+    assert kept < 400
+
+
 def brute_base(text):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
     words = "".join(c if c >= "\x80" or c.isascii() and c.isalnum() else " " for c in words).split()
