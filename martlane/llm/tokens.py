@@ -2,8 +2,9 @@
 
 Both vocabularies split a text at white space before anything else, so a text's
 ids are its chunks' ids in a row. Chunks repeat, texts do not: each task asks the
-library once per new chunk and joins the known ones. The chunk store is bounded;
-when it is full, further new chunks are encoded without being kept. The ids are
+library once per new chunk of a run and joins the known ones. New chunks are asked for
+together, a special token between them. The chunk store is bounded; when it is full,
+further new chunks are encoded without being kept. The ids are
 those of encoding the whole text at once, whatever the store holds. The library cuts a
 text at its special tokens before anything else; a text that holds one is encoded whole.
 """
@@ -15,15 +16,17 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
 
 from martlane.llm.common import kept_by_worker
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-CHUNKS_KEPT = 700_000
-RUN = 2_000_000  # characters whose new chunks are encoded in one call
+CHUNKS_KEPT = 500_000
+RUN = 1_000_000  # characters whose new chunks are encoded in one call
 LONGEST_KEPT = 64  # characters of a chunk worth keeping
+TOGETHER = 1000  # new chunks that are one text for the library
 
 # White space as the library's patterns have it (Python's \s has more).
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -87,18 +90,36 @@ class Encoder:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in encoded]
 
+    def _asked_together(self, chunks: list[str]) -> list[bytes]:
+        """As ``_asked``, for chunks without special tokens: many in one text, a special token,
+        at which the library cuts a text before all else, between them."""
+        if not self.special:
+            return self._asked(chunks)
+        mark, found = self.special[0], []
+        between = self.library.token_to_id(mark)
+        for at in range(0, len(chunks), TOGETHER):
+            some = chunks[at : at + TOGETHER]
+            ids = np.frombuffer(self._asked([mark.join(some)])[0], np.uint32)
+            cuts = np.flatnonzero(ids == between)
+            if len(cuts) != len(some) - 1:  # a token that takes white space beside it along
+                found += self._asked(some)
+                continue
+            data, ends = ids.tobytes(), (4 * cuts).tolist()
+            starts = [0, *(x + 4 for x in ends)]
+            found += [data[a:b] for a, b in zip(starts, [*ends, len(data)], strict=True)]
+        return found
+
     def _joined(self, run: list[list[str]]) -> Iterator[bytes]:
-        get = self.known.get
-        found = [list(map(get, chunks)) for chunks in run]
-        missed = set()
-        for chunks, ids in zip(run, found, strict=True):
-            if None in ids:
-                missed.update([c for c, x in zip(chunks, ids, strict=True) if x is None])
+        known = self.known
+        missed = set().union(*run).difference(known)
+        room = len(known) < CHUNKS_KEPT
         new = self._new(missed) if missed else {}
-        for chunks, ids in zip(run, found, strict=True):
-            if None in ids:
-                ids = [new[c] if x is None else x for c, x in zip(chunks, ids, strict=True)]
-            yield b"".join(ids)
+        known.update(new)
+        for chunks in run:
+            yield b"".join(map(known.__getitem__, chunks))
+        for c in new:
+            if not room or len(c) > LONGEST_KEPT:
+                del known[c]
 
     def _new(self, chunks: set[str]) -> dict[str, bytes]:
         known = self.known
@@ -109,13 +130,11 @@ class Encoder:
         ask.update([c for c in stems if c not in known])
         ask.update([c for c in _ENDS if c not in known])
         ask = list(ask)
-        new = dict(zip(ask, self._asked(ask), strict=True))
+        new = dict(zip(ask, self._asked_together(ask), strict=True))
         for c, stem in zip(ended, stems, strict=True):
             first = new.get(stem)
             last = new.get(c[-1]) or known[c[-1]]
             new[c] = (known[stem] if first is None else first) + last
-        if len(known) < CHUNKS_KEPT:
-            known.update([(c, x) for c, x in new.items() if len(c) <= LONGEST_KEPT])
         return new
 
 

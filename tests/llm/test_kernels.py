@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -19,6 +20,7 @@ from martlane.llm import (
     simple8b,
     tokens,
 )
+from martlane.llm.common import kept_by_worker
 from martlane.llm.suffix_groups import suffix_array
 
 
@@ -107,6 +109,25 @@ def test_ids_are_those_of_the_whole_text(name):
         assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
 
 
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_chunks_asked_together_are_those_asked_alone(name, monkeypatch):
+    encoder = tokens.Encoder(tokens.public(name))
+    chunks = ["", " a", "b", "", "\n", " <|endoftext", "|>", "<|", "<|startoftext|", "é ", " 12,"]
+    for size in (1, 2, 5, 100):
+        monkeypatch.setattr(tokens, "TOGETHER", size)
+        assert encoder._asked_together(chunks) == encoder._asked(chunks)
+    assert encoder._asked_together([""]) == [b""]
+    assert encoder._asked_together([]) == []
+
+
+def test_a_worker_holds_one_thing(monkeypatch):
+    monkeypatch.delitem(sys.modules, "_martlane_worker", raising=False)
+    made = []
+    for name in ("a", "a", "b", "b", "a"):
+        assert kept_by_worker(name, lambda name=name: made.append(name) or name) == name
+    assert made == ["a", "b", "a"]
+
+
 def test_ids_do_not_depend_on_what_is_kept(monkeypatch):
     content = tokens.public(tokens.WORD_BPE)
     texts = ["one two, three.", "two three four, four."] * 3
