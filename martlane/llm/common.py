@@ -67,18 +67,35 @@ def documents(frame: DataFrame, *keep: str) -> DataFrame:
 
 
 def kept_by_worker(name: str, make):
-    """What ``make`` returned when first asked for in this Python worker.
+    """What ``make`` returned when this Python worker last asked for ``name``.
 
     Functions arrive in a worker by value, so their module's globals are new with
-    every task; a module of the worker's own holds what is costly to load.
+    every task; a module of the worker's own holds what is costly to load. It holds
+    one thing at a time: workers outlive an operator, and what the one before it kept
+    would count against the executor's memory for as long as they live.
     """
     import sys
     import types
 
     held = sys.modules.setdefault("_martlane_worker", types.ModuleType("_martlane_worker"))
-    if not hasattr(held, name):
-        setattr(held, name, make())
-    return getattr(held, name)
+    if getattr(held, "name", None) != name:
+        if hasattr(held, "name"):
+            held.name = held.value = None
+            _give_back()
+        held.value = make()
+        held.name = name
+    return held.value
+
+
+def _give_back() -> None:
+    """Memory that is free again goes back to the system, where the C library can do that."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def most_counted(counts: DataFrame, key: str, n: str, most: int) -> DataFrame:
