@@ -103,6 +103,18 @@ def test_index_finds_every_digest_and_few_others(spark, tmp_path):
     assert digests.known(frame(70000, 70001), []) is None
 
 
+def test_a_run_has_few_files_whatever_the_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(digests, "SLOT_DIGESTS", 500)
+    found = spark.range(0, 4000, 1, 32).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.lit(0).cast("bigint").alias("batch_id")
+    )
+    digests.write(found, str(tmp_path / "run"), 4000)
+    slots = Run("", 4000, 0).slots
+    assert len(list(tmp_path.glob("run/slot=*"))) == slots + 1
+    assert len(list(tmp_path.glob("run/slot=*/*.parquet"))) <= 2 * (slots + 1)
+    assert digests.known(found, [Run(str(tmp_path / "run"), 4000, 0)]).count() == 4000
+
+
 def test_only_slots_of_repeated_payloads_are_read(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(digests, "SLOT_DIGESTS", 50)
     read = []
