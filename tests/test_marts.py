@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixture_rows import SEED_FILES, write_seeds
+from martlane.demo import standins
+from martlane.demo.standins import Standins
 from martlane.plans import enterprise, metrics, reports
-from martlane.plans.build import build_all, build_feeds, check_all
+from martlane.plans.build import DOMAIN_MARTS, ENTERPRISE_MARTS, build_all, build_feeds, check_all
 from martlane.plans.feeds import mart_swiss_rail_overview, mart_weather_station_catalog
 from martlane.plans.staging import (
     stage,
@@ -421,3 +423,25 @@ def test_feed_marts_are_written(spark):
         "mart_swiss_rail_overview": 5,
         "mart_weather_station_catalog": 2,
     }
+
+
+def test_seeds_of_the_full_build_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    """All tables are built; the CSV text between the tables and them is small, its files are many."""
+    monkeypatch.setattr(standins, "SEED_ROWS", 10)
+    d = Standins(spark, str(tmp_path / "none"))
+    rows = {
+        table: spark.range(25).select(*[F.lit(None).cast("string").alias(c) for c, _ in seed_columns(table)])
+        for table in SEEDS
+    }
+    key = F.expr("concat('Zug, \"', id, '\"')")
+    rows["order_header"] = spark.range(25).select(
+        key.alias("order_id"),
+        *[F.lit(None).cast("string").alias(c) for c, _ in seed_columns("order_header")[1:]],
+    )
+    for table in SEEDS:
+        setattr(d, f"raw_{table}", lambda t=table: rows[t].coalesce(1))
+    catalog, built = d.built()
+    assert len({r.order_id for r in built["stg_order_header"].collect()}) == 25
+    assert set(DOMAIN_MARTS) | set(ENTERPRISE_MARTS) <= set(built)
+    files = [f for f in spark.read.text(f"{catalog.location}/seeds/order_header.csv").inputFiles()]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
