@@ -23,53 +23,62 @@ def encode(values: np.ndarray, stretch: int = STRETCH) -> tuple[np.ndarray, np.n
     n = len(values)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    at = np.arange(n, dtype=np.int64)
-    ends = np.minimum((at // stretch + 1) * stretch, n)
-    # The first selector, so the fullest word, that takes all numbers it would hold.
-    chosen = np.full(n, ESCAPE, np.uint8)
+    # Each stretch is a row that ends in zeros, so a word's numbers may reach beyond it.
+    rows, width = -(-n // stretch), stretch + 64
+    whole = np.zeros(rows * stretch, np.uint64)
+    whole[:n] = values
+    padded = np.zeros((rows, width), np.uint64)
+    padded[:, :stretch] = whole.reshape(rows, stretch)
+    padded = padded.ravel()
+    firsts = np.arange(rows) * width
+    ends = np.repeat(firsts + np.minimum(stretch, n - np.arange(rows) * stretch), width)
+    # The first selector that is wide enough for a number, then for all that a word would hold:
+    # the first of these, so the fullest word, is taken.
+    level = np.zeros(len(padded), np.uint8)
     top = int(values.max())
-    for selector in range(len(LAYOUTS) - 1, -1, -1):
-        count, bits = LAYOUTS[selector]
+    for _, bits in LAYOUTS:
         if top >> bits:
-            wide = np.where(values >> np.uint64(bits) != 0, at, n)
-            next_wide = np.minimum.accumulate(wide[::-1])[::-1]
-            fits = next_wide >= np.minimum(at + count, ends)
-            chosen[fits] = selector
-            if not fits.any():
-                break
-        else:
-            chosen[:] = selector
-    after = np.minimum(at + _COUNT[chosen], ends)
-    # Walk all stretches at once, one word a step.
-    used = np.zeros(n, bool)
-    here = np.arange(0, n, stretch)
-    stop = ends[here]
-    while len(here):
-        used[here] = True
-        here = after[here]
-        going = here < stop
-        here, stop = here[going], stop[going]
-    starts = np.flatnonzero(used)
+            level += padded >> np.uint64(bits) != 0
+    widest = {1: level}
+    for step in (1, 2, 4, 8, 16):
+        widest[2 * step] = np.maximum(widest[step][:-step], widest[step][step:])
+    chosen = np.zeros(len(padded), np.uint8)
+    inner = len(padded) - 64
+    for selector, (count, bits) in enumerate(LAYOUTS):
+        if not top >> bits:
+            break
+        step = 1 << (count.bit_length() - 1)
+        most = widest[step][count - step :][:inner]
+        chosen[:inner] += np.maximum(widest[step][:inner], most) > selector
+    chosen[chosen == len(LAYOUTS)] = ESCAPE
+    after = np.minimum(np.arange(len(padded)) + _COUNT[chosen], ends)
+    # Words of all stretches at once: those found, and as many words on from each.
+    starts, jump = firsts, after
+    while True:
+        found = jump[starts]
+        found = found[found < ends[found]]
+        if not len(found):
+            break
+        starts = np.concatenate([starts, found])
+        jump = jump[jump]
+    starts = np.sort(starts)
     selectors = chosen[starts]
     size = 1 + (selectors == ESCAPE)
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
-    padded = np.concatenate([values, np.zeros(64, np.uint64)])
     for selector in np.unique(selectors):
         own = selectors == selector
         first, to = starts[own], place[own]
         if selector == ESCAPE:
             words[to] = np.uint64(ESCAPE << 60)
-            words[to + 1] = values[first]
+            words[to + 1] = padded[first]
             continue
         count, bits = LAYOUTS[selector]
-        last = after[first]
         word = np.full(len(first), int(selector) << 60, np.uint64)
         for k in range(count):
-            part = np.where(first + k < last, padded[first + k], np.uint64(0))
-            word |= part << np.uint64(k * bits)
+            word |= padded[first + k] << np.uint64(k * bits)
         words[to] = word
-    return words, place[np.searchsorted(starts, np.arange(0, n, stretch))]
+    return words, place[np.searchsorted(starts, firsts)]
 
 
 def decode(words: np.ndarray, firsts: np.ndarray, n: int, stretch: int = STRETCH) -> np.ndarray:

@@ -120,6 +120,47 @@ def test_chunks_asked_together_are_those_asked_alone(name, monkeypatch):
     assert encoder._asked_together([]) == []
 
 
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_words_with_signs_are_made_of_known_pieces(name, monkeypatch):
+    content = tokens.public(name)
+    library = Tokenizer.from_str(content)
+    draw = random.Random(2)
+    letters = list("abst'12Éßœǅĳ×÷İıȿɀΣ") + ["e\u0301", "\u0303", "ſ"]
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 4))) for _ in range(2000)]
+    texts = [w + "".join(draw.choices("!,.%'|_-", k=draw.randint(0, 3))) for w in words]
+    texts += [" ".join(texts[k : k + 20]) for k in range(0, 2000, 20)]
+    for text, ids in zip(texts, tokens.Encoder(content).ids(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+    encoder = tokens.Encoder(content)
+    list(encoder.ids(["dog café a,%%% a!! a**"]))
+    asked = []
+    ask = encoder._asked
+    monkeypatch.setattr(encoder, "_asked", lambda texts: asked.extend(texts) or ask(texts))
+    list(encoder.ids(["dog,%%% café!! Dog** dog!! dogs"]))
+    assert not asked
+
+
+def test_simple8b_takes_the_fullest_words():
+    draw = np.random.default_rng(4)
+    for n, stretch in ((1, 7), (63, 64), (1000, 100), (1024, 1024), (3000, 1024)):
+        for low in (0, 30, 55):
+            values = draw.integers(0, 2**64, n, dtype=np.uint64)
+            values >>= draw.integers(low, 64, n).astype(np.uint64)
+            words, firsts = simple8b.encode(values, stretch)
+            wanted, begins = [], []
+            for at in range(0, n, stretch):
+                begins.append(sum(wanted))
+                rest = values[at : at + stretch].tolist()
+                while rest:
+                    fits = (c for c, bits in simple8b.LAYOUTS if not max(rest[:c]) >> bits)
+                    count = next(fits, 0)
+                    wanted.append(1 if count else 2)
+                    rest = rest[count or 1 :]
+            assert len(words) == sum(wanted) and firsts.tolist() == begins
+            assert (simple8b.decode(words, firsts, n, stretch) == values).all()
+
+
 def test_a_worker_holds_one_thing(monkeypatch):
     monkeypatch.delitem(sys.modules, "_martlane_worker", raising=False)
     made = []
