@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -115,6 +116,38 @@ def test_jaccard_ranges_grow_with_the_texts(docs, rows, monkeypatch):
     assert got == components(sets, near(sets, 90))
 
 
+def test_jaccard_lists_go_to_their_place_once(spark):
+    rows = [(k, c, 9, k, 9) for k in (1, 2, 3) for c in range(k, k + 3)]
+    lists = spark.createDataFrame(rows, "key long, class long, n long, head long, head_n long")
+    roots = spark.createDataFrame([(2, 1), (3, 1), (1, 1)], "node long, root long")
+    opened = jaccard._open(lists, roots)
+    by_key = re.compile(r"Exchange hashpartitioning\(key#\d+L?, ")
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert len(by_key.findall(plan(opened))) == 1
+    assert len(by_key.findall(plan(jaccard._stars(opened, 90)))) == 1
+    assert not by_key.findall(plan(jaccard._first_stars(lists, 90)))
+    got = sorted((r.key, r["class"], r.root, r.members) for r in opened.collect())
+    assert got == [(2, 2, 1, 3), (2, 3, 1, 3), (2, 4, 4, 3)] + [
+        (3, 3, 1, 3), (3, 4, 4, 3), (3, 5, 5, 3),
+    ]
+
+
+def test_jaccard_blocks_hold_what_may_be_near(spark):
+    draw = np.random.default_rng(1)
+    first, other = draw.integers(0, 2**63, (2, 200), dtype=np.uint64)
+    near = np.concatenate([first[:-2], other[:2]])
+    bucket = int(np.log(200) / jaccard._step(90))
+    rows = [(c, 200, c, 1, bucket, 1, 0, 77) for c in (1, 2, 3)]
+    placed = spark.createDataFrame(
+        rows,
+        "class long, n long, now long, root long, bucket long, fields long, field long, own long",
+    )
+    rows = [(k + 1, 200, bytearray(jaccard.parity(x, 64))) for k, x in enumerate((first, other, near))]
+    parities = spark.createDataFrame(rows, "class long, n long, parity binary")
+    got = jaccard._visits(placed, parities, 90).collect()
+    assert sorted((r["class"], r["first"], r.role) for r in got) == [(1, 77, 1), (3, 77, 0)]
+
+
 def test_jaccard_keeps_one_of_each_group(docs, rows, nulls, nothing):
     sets = {r[0]: shingles(r[1], 5) for r in rows}
     roots = components(sets, near(sets, 80))
