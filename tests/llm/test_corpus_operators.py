@@ -132,6 +132,35 @@ def test_jaccard_lists_go_to_their_place_once(spark):
     ]
 
 
+def test_jaccard_lists_hold_only_sets_of_like_size(spark):
+    """Texts that share a beginning but not their size are in no list; none is sent anywhere."""
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words[:n]) for n in (20, 40, 90, 200, 400, 396)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists = jaccard._shared(jaccard.documents(docs), np.empty(0, np.uint64), 3, 90).collect()
+    assert {(r.n, r.head_n) for r in lists} in ({(398, 398), (394, 398)}, {(398, 394), (394, 394)})
+    assert [r.component_id for r in jaccard.join(docs, 3, 90).orderBy("doc_id").collect()] == [
+        0, 1, 2, 3, 4, 4,
+    ]
+
+
+def test_jaccard_parities_stay_where_few_are_asked_for(spark):
+    draw = np.random.default_rng(2)
+    sets = draw.integers(0, 2**63, (500, 200), dtype=np.uint64)
+    rows = [(k, 200, bytearray(jaccard.parity(x, 64))) for k, x in enumerate(sets)]
+    parities = spark.createDataFrame(rows, "class long, n long, parity binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 1)], "u long, v long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        likely = jaccard._likely(pairs, parities, 90)
+        plan = likely._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\(class#", plan)
+        assert [tuple(r) for r in likely.collect()] == [(1, 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_jaccard_blocks_hold_what_may_be_near(spark):
     draw = np.random.default_rng(1)
     first, other = draw.integers(0, 2**63, (2, 200), dtype=np.uint64)

@@ -1,5 +1,6 @@
 """The parts that need no Spark: coding, suffix arrays, packing plans, flights, rules, words."""
 
+import itertools
 import random
 import re
 import sys
@@ -205,6 +206,45 @@ def test_near_sets_share_a_key(percent):
         assert len(shared), (trial, n, len(frequent))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_lists_are_cut_only_between_sets_that_cannot_be_near(percent):
+    draw = np.random.default_rng(7)
+    n_of = draw.integers(1, 400, 300)
+    every = draw.integers(0, 60, 2_000).astype(np.uint64)
+    numbers = draw.integers(0, 300, 2_000)
+    classes = np.column_stack([numbers, n_of[numbers]])
+    got_keys, got = jaccard.by_size(every, classes, percent)
+    lists = {}
+    for key, (c, n) in zip(got_keys.tolist(), got.tolist(), strict=True):
+        assert n == n_of[c]
+        lists.setdefault(key, []).append(c)
+    members = {}
+    for key, c in zip(every.tolist(), numbers.tolist(), strict=True):
+        members.setdefault(key, set()).add(c)
+    together = {}
+    for key, own in lists.items():
+        assert own == sorted(set(own)) and len(own) > 1
+        for a, b in itertools.combinations(own, 2):
+            together[key % 2, a, b] = together.get((key % 2, a, b), 0) + 1
+    near = {}
+    for key, own in members.items():
+        for a, b in itertools.combinations(sorted(own), 2):
+            if 100 * min(n_of[a], n_of[b]) >= percent * max(n_of[a], n_of[b]):
+                near[key % 2, a, b] = near.get((key % 2, a, b), 0) + 1
+    # As many lists of each kind as keys have both of a pair that can be near.
+    assert near and all(together[pair] == n for pair, n in near.items())
+    assert len(lists) > len(members)
+    pairs = np.array([[1, 10], [2, 99], [3, 50], [3, 50]])
+    alone = jaccard.by_size(np.array([4, 4, 6, 6], np.uint64), pairs, percent)
+    assert [len(x) for x in alone] == [0, 0]
+    assert [len(x) for x in jaccard.by_size(every[:0], classes[:0], percent)] == [0, 0]
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [0], [1, 255, 256, 70_000, 2**32 - 1]):
+        assert jaccard.unpacked(jaccard.packed(np.array(numbers, np.int64))).tolist() == numbers
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_parities_leave_no_near_set_out(percent):
     """Sets at and around the threshold; parities of any length, folded ones too."""
