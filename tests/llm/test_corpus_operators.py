@@ -8,10 +8,12 @@ import zlib
 import numpy as np
 import pytest
 from brute_force import components, covered, near, shingles
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from martlane.llm import (
     ann,
+    common,
     jaccard,
     licenses,
     lm,
@@ -161,6 +163,32 @@ def test_jaccard_parities_stay_where_few_are_asked_for(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_jaccard_of_more_rows_than_are_broadcast(spark, docs, rows, monkeypatch):
+    """Then parities are worked out where the texts are read, and no texts are shuffled for them."""
+    sizes = [*range(1, 3_000), 10**5, 10**6]
+    bucket = F.floor(F.log(F.col("n").cast("double")) / jaccard._step(90)) + 1
+    frame = spark.createDataFrame([(n,) for n in sizes], "n long").withColumn("above", bucket)
+    for n, words in frame.select("n", jaccard._words("above", 90)).collect():
+        assert words <= jaccard.words_above(n, 90) <= 2 * words
+    shuffled = []
+    keep = jaccard.written
+
+    def seen(found, purpose):
+        if purpose == "jaccard-parities":
+            shuffled.append(found._jdf.queryExecution().executedPlan().toString())
+        return keep(found, purpose)
+
+    monkeypatch.setattr(jaccard, "written", seen)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    sets = {r[0]: shingles(r[1], 3) for r in rows}
+    got = {r.doc_id: r.component_id for r in jaccard.join(docs, 3, 90).collect()}
+    assert got == components(sets, near(sets, 90))
+    # Below the join by place there are parities, not texts.
+    plan = shuffled[0]
+    assert re.search(r"Join.*\n(.*\n)*.*MapInPandas of_all", plan)
+    assert not re.search(r"MapInPandas rows", plan)
+
+
 def test_jaccard_blocks_hold_what_may_be_near(spark):
     draw = np.random.default_rng(1)
     first, other = draw.integers(0, 2**63, (2, 200), dtype=np.uint64)
