@@ -17,7 +17,9 @@ with a smaller doc_id. All strings of that length are judged:
    with more than GATHER bytes of contexts is a crowd: its contexts are dealt to groups
    of about that size, which learn from each other by hash which windows an earlier
    document has in another group, and get one copy of each such window.
-4. Covered stretches meet their documents' texts; texts without any are never moved.
+4. Covered stretches meet their documents' texts. Up to BROADCAST_ROWS documents that may repeat
+   something, or that do, other texts are not moved; above that, texts are moved twice:
+   to the numbers of their contexts and to what is cut from them.
 
 Defined results: a null text is empty; texts shorter than LENGTH repeat nothing;
 documents with equal doc_id do not repeat one another; one without doc_id stays as it
@@ -31,10 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlane.llm.common import documents, matching, parts, side, written
+from martlane.llm.common import documents, few, parts, side, written
 from martlane.llm.hashed_words import mixed, powers, prefix_sums, runs
 from martlane.llm.suffix_groups import suffix_array
 
@@ -114,6 +116,8 @@ def _flags(texts: DataFrame) -> DataFrame:
         def flush() -> pd.DataFrame:
             docs, anchors, contexts = (np.concatenate(x) for x in zip(*held, strict=True))
             deal = (anchors & np.uint64(0xFFFFFF)) % np.uint64(n)
+            if n <= 1 << 16:
+                deal = deal.astype(np.uint16)  # is sorted by counting
             order = np.argsort(deal, kind="stable")
             cuts = np.searchsorted(deal[order], np.arange(n + 1))
             rows = []
@@ -155,7 +159,7 @@ def _flags(texts: DataFrame) -> DataFrame:
             )
             anchors = np.concatenate([_unpacked(x[2]) for x in held])
             contexts = np.concatenate([_unpacked(x[3]) for x in held])
-            order = np.lexsort((docs, contexts, anchors))
+            order = np.lexsort((contexts, anchors))
             docs, anchors, contexts = docs[order], anchors[order], contexts[order]
             new_anchor = np.ones(len(docs), bool)
             new_anchor[1:] = anchors[1:] != anchors[:-1]
@@ -163,7 +167,7 @@ def _flags(texts: DataFrame) -> DataFrame:
             new_context[1:] |= contexts[1:] != contexts[:-1]
             own_context = np.cumsum(new_context) - 1
             own_anchor = np.cumsum(new_anchor) - 1
-            first_doc = docs[new_context][own_context]
+            first_doc = np.minimum.reduceat(docs, np.flatnonzero(new_context))[own_context]
             least = np.minimum.reduceat(docs, np.flatnonzero(new_anchor))[own_anchor]
             most = np.maximum.reduceat(docs, np.flatnonzero(new_anchor))[own_anchor]
             n_contexts = np.bincount(own_anchor, new_context)[own_anchor]
@@ -240,50 +244,61 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[first, 0], np.maximum.reduceat(spans[:, 1], first)], axis=1)
 
 
+def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which keys are among some; np.isin is slow on the few of one text."""
+    if not len(some):
+        return np.zeros(len(keys), bool)
+    some = np.sort(some)
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
 def _marked(flagged: DataFrame) -> DataFrame:
-    """doc_id, bytes, print, spans of the covered contexts, and the open contexts."""
+    """doc_id, print, spans of the covered contexts, and the open contexts."""
+
+    def marks(run: list[bytes], flags: list[tuple]) -> Iterator[tuple]:
+        found = Anchors(run)
+        keys = found.keys()
+        cuts = np.searchsorted(found.text, np.arange(len(run) + 1))
+        for k, (doc, number, covered, opened) in enumerate(flags):
+            own = slice(cuts[k], cuts[k + 1])
+            first, last = found.first[own] - found.begins[k], found.last[own] - found.begins[k]
+            is_covered = _among(keys[own], np.frombuffer(covered, np.uint64))
+            is_open = _among(keys[own], np.frombuffer(opened, np.uint64)) & ~is_covered
+            spans = np.stack([first[is_covered], last[is_covered] + LENGTH], axis=1)
+            at, text = np.flatnonzero(is_open), run[k]
+            anchors = (found.anchor[own][at] >> np.uint64(1)).astype(np.int64)
+            ends = zip(first[at].tolist(), last[at].tolist(), strict=True)
+            contexts = [text[a : b + LENGTH] for a, b in ends]
+            yield doc, number, merged(spans).astype("<i8").tobytes(), anchors, first[at], contexts
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "print", "spans", "anchors", "starts", "contexts"]
         for batch in batches:
+            flags = batch[["doc_id", "print", "covered", "open"]].itertuples(index=False, name=None)
             out = []
-            for doc, text, number, covered, opened in zip(
-                *(batch[c] for c in ("doc_id", "bytes", "print", "covered", "open")), strict=True
-            ):
-                found = Anchors([text])
-                keys = found.keys()
-                is_covered = np.isin(keys, np.frombuffer(covered, np.uint64))
-                is_open = np.isin(keys, np.frombuffer(opened, np.uint64)) & ~is_covered
-                spans = np.stack([found.first[is_covered], found.last[is_covered] + LENGTH], axis=1)
-                at = np.flatnonzero(is_open)
-                contexts = [
-                    text[a : b + LENGTH]
-                    for a, b in zip(found.first[at], found.last[at], strict=True)
-                ]
-                out.append(
-                    (
-                        *(doc, text, number, merged(spans).astype("<i8").tobytes()),
-                        *((found.anchor[at] >> np.uint64(1)).astype(np.int64), found.first[at]),
-                        contexts,
-                    )
-                )
-            columns = ["doc_id", "bytes", "print", "spans", "anchors", "starts", "contexts"]
+            for run in runs(batch["bytes"], RUN_BYTES):
+                out += marks(run, [next(flags) for _ in run])
             yield pd.DataFrame(out, columns=columns)
 
     return flagged.mapInPandas(
         rows,
-        "doc_id long, bytes binary, print long, spans binary, anchors array<long>, "
+        "doc_id long, print long, spans binary, anchors array<long>, "
         "starts array<long>, contexts array<binary>",
     )
 
 
-def _sorted_block(block: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-    """Windows of the block's strings (doc_id, print, place, bytes) that an earlier document has
-    too: doc_id, print, start and stop of each stretch."""
+def _sorted_block(block: dict[bytes, list[tuple[int, int, int]]]) -> list[tuple[int, int, int, int]]:
+    """Windows of the block's strings, each with its places (doc_id, print, place), that an earlier
+    document has too: doc_id, print, start and stop of each stretch.
+
+    Equal strings are sorted once. A place whose string an earlier document has is covered whole.
+    """
+    least = np.array([min(places)[0] for places in block.values()])
     text = np.concatenate(
-        [x for *_, s in block for x in (np.frombuffer(s, np.uint8).astype(np.int16) + 1, [0])]
+        [x for s in block for x in (np.frombuffer(s, np.uint8).astype(np.int16) + 1, [0])]
     )
-    windows = np.array([len(s) - LENGTH + 1 for *_, s in block])
-    sizes = np.array([len(s) + 1 for *_, s in block])
+    windows = np.array([len(s) - LENGTH + 1 for s in block])
+    sizes = np.array([len(s) + 1 for s in block])
     begins = np.cumsum(sizes) - sizes
     of = np.repeat(np.arange(len(block)), sizes)
     within = np.arange(len(text)) - begins[of]
@@ -291,18 +306,21 @@ def _sorted_block(block: list[tuple[int, int, int, bytes]]) -> list[tuple[int, i
     order = order[within[order] < windows[of[order]]]
     rows = text[order[:, None] + np.arange(LENGTH)]
     new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])
-    docs = np.array([d for d, *_ in block])[of[order]]
+    docs = least[of[order]]
     earliest = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
     hits = np.sort(order[docs > earliest])
-    if not len(hits):
-        return []
-    cut = np.concatenate([[True], (np.diff(hits) > 1) | (of[hits[1:]] != of[hits[:-1]])])
-    starts = hits[cut]
-    stops = hits[np.append(np.flatnonzero(cut)[1:], len(hits)) - 1] + LENGTH
+    spans: dict[int, list[tuple[int, int]]] = {}
+    if len(hits):
+        cut = np.concatenate([[True], (np.diff(hits) > 1) | (of[hits[1:]] != of[hits[:-1]])])
+        starts = hits[cut]
+        stops = hits[np.append(np.flatnonzero(cut)[1:], len(hits)) - 1] + LENGTH
+        for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+            spans.setdefault(int(of[a]), []).append((a - int(begins[of[a]]), b - int(begins[of[a]])))
     found = []
-    for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
-        doc, number, place, _ = block[of[a]]
-        found.append((doc, number, place + within[a], place + within[a] + b - a))
+    for k, ((s, places), first) in enumerate(zip(block.items(), least.tolist(), strict=True)):
+        for doc, number, place in places:
+            own = [(0, len(s))] if doc > first else spans.get(k, [])
+            found += [(doc, number, place + a, place + b) for a, b in own]
     return found
 
 
@@ -342,10 +360,10 @@ def repeats(contexts: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int,
     size = 0
 
     def flush() -> None:
-        pieces = []
+        pieces: dict[bytes, list[tuple[int, int, int]]] = {}
         for c, (a, b) in block.items():
             doc, number, place, s = contexts[c]
-            pieces.append((doc, number, place + a, s[a : b + LENGTH]))
+            pieces.setdefault(s[a : b + LENGTH], []).append((doc, number, place + a))
         found.extend(_sorted_block(pieces))
 
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(queries)], strict=True):
@@ -484,23 +502,25 @@ def _stretches(contexts: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The ids of documents that may repeat something; the other documents' texts; and of the
-    former doc_id, bytes, print, spans and more (stretches to remove)."""
+OWN = ["doc_id", "print"]  # stretches are places of one text: rows of one doc_id may have several
+
+
+def _judged(docs: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The ids of documents that may repeat something, if they are few; and of their texts doc_id,
+    print, spans and more (stretches to remove), which is written."""
     texts = documents(docs, F.xxhash64("text").alias("print"))
     flags = written(_flags(texts.drop("print")), "substring-flags")
-    ids = flags.select("doc_id")
-    flagged = texts.join(side(ids), "doc_id", "left_semi").join(flags, "doc_id")
-    marked = written(_marked(flagged), "substring-marked")
+    ids = flags.select("doc_id") if few(flags) else None
+    if ids is not None:
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    marked = written(_marked(texts.join(flags, "doc_id")), "substring-marked")
     contexts = marked.select(
         "doc_id", "print", F.explode(F.arrays_zip("anchors", "starts", "contexts")).alias("x")
     ).select(F.col("x.anchors").alias("anchor"), "doc_id", "print", "x.starts", "x.contexts")
     stretches = F.collect_list(F.array("start", "stop")).alias("more")
-    # Stretches are places of one text: rows of one doc_id may have several.
-    own = ["doc_id", "print"]
-    more = _stretches(contexts).groupBy(own).agg(stretches)
-    touched = marked.select("doc_id", "bytes", "print", "spans").join(more, own, "left")
-    return ids, texts.join(side(ids), "doc_id", "left_anti"), touched
+    more = _stretches(contexts).groupBy(OWN).agg(stretches)
+    covered = marked.select(*OWN, "spans").dropDuplicates(OWN)
+    return ids, written(covered.join(more, OWN, "left"), "substring-cuts")
 
 
 def _cut(text: bytes, spans: bytes, more) -> tuple[bytes, np.ndarray]:
@@ -512,28 +532,39 @@ def _cut(text: bytes, spans: bytes, more) -> tuple[bytes, np.ndarray]:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), gone
 
 
-def _cuts(batch: pd.DataFrame) -> list[tuple[bytes, np.ndarray]]:
-    rows = zip(batch["bytes"], batch["spans"], batch["more"], strict=True)
-    return [_cut(text, spans, more) for text, spans, more in rows]
+def _with_cuts(
+    texts: DataFrame, cuts: DataFrame, ids: DataFrame | None
+) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of which nothing goes, if they can be told apart without moving them; and the others
+    with spans and more, null where nothing is known of a text."""
+    some = cuts.filter("octet_length(spans) > 0 or more is not null")
+    if ids is None or not few(some):
+        return None, texts.join(cuts, OWN, "left")
+    keys = F.broadcast(some.select(OWN))
+    return texts.join(keys, OWN, "left_anti"), texts.join(keys, OWN, "left_semi").join(some, OWN)
+
+
+DIGESTS = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256; one row per document."""
-    _, others, touched = _parted(docs)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cuts = _cuts(batch)
-            n_bytes = np.array([len(x) for x in batch["bytes"]], np.int64)
-            yield pd.DataFrame(
-                {
-                    **{"doc_id": batch["doc_id"], "n_bytes": n_bytes},
-                    "n_removed": n_bytes - np.array([len(x) for x, _ in cuts], np.int64),
-                    "n_spans": [len(gone) for _, gone in cuts],
-                    "kept_sha256": [hashlib.sha256(x).hexdigest() for x, _ in cuts],
-                }
-            )
+    @F.pandas_udf(DIGESTS)
+    def judged(texts: pd.Series, spans: pd.Series, more: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, own, others in zip(texts, spans, more, strict=True):
+            left, gone = _cut(text, own or b"", others)
+            rows.append((len(text), len(text) - len(left), len(gone), hashlib.sha256(left).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
+    ids, cuts = _judged(docs)
+    texts = documents(docs, F.xxhash64("text").alias("print"))
+    others, touched = _with_cuts(texts, cuts, ids)
+    found = touched.select("doc_id", judged("bytes", "spans", "more").alias("found"))
+    found = found.select("doc_id", "found.*")
+    if others is None:
+        return found
     untouched = others.select(
         "doc_id",
         F.octet_length("bytes").cast("long").alias("n_bytes"),
@@ -541,7 +572,7 @@ def digests(docs: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("n_spans"),
         F.sha2("bytes", 256).alias("kept_sha256"),
     )
-    return untouched.unionAll(touched.mapInPandas(rows, RESULT))
+    return untouched.unionAll(found)
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -550,23 +581,35 @@ def removed(docs: DataFrame) -> DataFrame:
     Pieces of characters that a cut leaves behind go too. A null text of a document that
     repeats nothing stays null.
     """
-    ids, _, touched = _parted(docs)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [kept.decode("utf-8", "ignore") for kept, _ in _cuts(batch)]
-            yield batch[["doc_id", "print"]].assign(text=texts)
+    @F.pandas_udf("string")
+    def kept(texts: pd.Series, spans: pd.Series, more: pd.Series) -> pd.Series:
+        rows = []
+        for text, own, others in zip(texts, spans, more, strict=True):
+            rows.append(None if text is None else _cut(text, own, others)[0].decode("utf-8", "ignore"))
+        return pd.Series(rows)
 
-    new = touched.mapInPandas(rows, "doc_id long, print long, text string").dropDuplicates(
-        ["doc_id", "print"]
-    )
+    def renewed(text: Column) -> Column:
+        new = F.col("row").withField("text", text)
+        return new.withField("n_chars", F.char_length(text).cast("long"))
+
+    ids, cuts = _judged(docs)
     # The row is one column, so that no name of its own meets one of these.
-    marked = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("print"))
-    others = matching(marked, side(ids), ["doc_id"], "left_anti")
-    size = F.char_length("text").cast("long")
-    changed = (
-        matching(marked, side(ids), ["doc_id"], "left_semi")
-        .join(new, ["doc_id", "print"])
-        .select(F.col("row").withField("text", F.col("text")).withField("n_chars", size).alias("row"))
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("print"),
     )
-    return others.select("row").unionAll(changed).select("row.*")
+    whole = F.coalesce("row.text", F.lit(""))
+    others, touched = _with_cuts(rows, cuts, ids)
+    # Only what is cut goes to Python.
+    cut = (F.octet_length("spans") > 0) | F.col("more").isNotNull()
+    left = kept(F.when(cut, whole.cast("binary")), "spans", "more").alias("kept")
+    new = F.when(F.col("spans").isNotNull(), renewed(F.coalesce(F.col("kept"), whole)))
+    new = touched.select("row", "spans", left).select(new.otherwise(F.col("row")).alias("row"))
+    if others is not None:
+        flagged = F.broadcast(ids.withColumn("flagged", F.lit(True)))
+        known = others.join(flagged, "doc_id", "left")
+        old = known.select(F.when(F.col("flagged"), renewed(whole)).otherwise(F.col("row")).alias("row"))
+        new = old.unionAll(new)
+    return new.select("row.*")
